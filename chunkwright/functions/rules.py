@@ -14,9 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkwright.functions.text import let
-
-_NO_ERRORS = F.array().cast("array<string>")
+from chunkwright.functions.text import empty_array, let
 
 
 @dataclass(frozen=True)
@@ -49,7 +47,7 @@ def _join(path: Column, key: Column) -> Column:
 def _collect(checks: Sequence[Column]) -> Column:
     """Array of the checks that gave a message."""
     if not checks:
-        return _NO_ERRORS
+        return empty_array("string")
     return F.filter(F.array(*checks), lambda e: e.isNotNull())
 
 
@@ -88,7 +86,7 @@ def _typed(rule: Rule, value: Column, dtype: T.DataType, path: Column) -> Column
                     v.isNull(), F.array(_error(_join(path, i.cast("string")), f"not of type {rule.each.kind}"))
                 ).otherwise(_typed(rule.each, v, dtype.elementType, _join(path, i.cast("string")))),
             )
-        ) if rule.each else _NO_ERRORS
+        ) if rule.each else empty_array("string")
         return F.concat(_collect(size), inner)
     if rule.kind == "map":
         size = []
@@ -101,7 +99,7 @@ def _typed(rule: Rule, value: Column, dtype: T.DataType, path: Column) -> Column
                 F.map_entries(value),
                 lambda e: _typed(rule.each, e["value"], dtype.valueType, _join(path, e["key"])),
             )
-        ) if rule.each else _NO_ERRORS
+        ) if rule.each else empty_array("string")
         return F.concat(_collect(size), inner)
     return _typed_fields(rule, lambda name: value.getField(name), dtype, path)
 
@@ -116,7 +114,7 @@ def _typed_fields(rule: Rule, get, dtype: T.StructType, path: Column) -> Column:
                 parts.append(F.array(_missing(child, path)))
             continue
         value = get(child.name)
-        absent = F.array(_missing(child, path)) if child.required else _NO_ERRORS
+        absent = F.array(_missing(child, path)) if child.required else empty_array("string")
         parts.append(
             F.when(value.isNull(), absent).otherwise(
                 _typed(child, value, known[child.name], _join(path, F.lit(child.name)))
@@ -126,9 +124,9 @@ def _typed_fields(rule: Rule, get, dtype: T.StructType, path: Column) -> Column:
         for name in known:
             if name not in declared:
                 parts.append(
-                    F.when(get(name).isNotNull(), F.array(_error(path, f"{name} is unexpected"))).otherwise(_NO_ERRORS)
+                    F.when(get(name).isNotNull(), F.array(_error(path, f"{name} is unexpected"))).otherwise(empty_array("string"))
                 )
-    return F.concat(*parts) if parts else _NO_ERRORS
+    return F.concat(*parts) if parts else empty_array("string")
 
 
 def typed_errors(rule: Rule, schema: T.StructType, record: Column | None = None) -> Column:
@@ -161,7 +159,7 @@ def _variant(rule: Rule, value: Column, path: Column) -> Column:
     elif rule.kind == "integer":
         good = let(F.try_variant_get(value, "$", "decimal(38,0)"), lambda n: _collect(_plain_checks(rule, n, path)))
     elif rule.kind == "boolean":
-        good = _NO_ERRORS
+        good = empty_array("string")
     elif rule.kind == "array":
         good = let(F.try_variant_get(value, "$", "array<variant>"), lambda a: _variant_array(rule, a, path))
     elif rule.kind == "map":
@@ -179,7 +177,7 @@ def _variant_array(rule: Rule, items: Column, path: Column) -> Column:
     inner = (
         F.flatten(F.transform(items, lambda v, i: _variant(rule.each, v, _join(path, i.cast("string")))))
         if rule.each
-        else _NO_ERRORS
+        else empty_array("string")
     )
     return F.concat(_collect(size), inner)
 
@@ -193,7 +191,7 @@ def _variant_map(rule: Rule, entries: Column, path: Column) -> Column:
     inner = (
         F.flatten(F.transform(F.map_entries(entries), lambda e: _variant(rule.each, e["value"], _join(path, e["key"]))))
         if rule.each
-        else _NO_ERRORS
+        else empty_array("string")
     )
     return F.concat(_collect(size), inner)
 
@@ -201,7 +199,7 @@ def _variant_map(rule: Rule, entries: Column, path: Column) -> Column:
 def _variant_object(rule: Rule, entries: Column, path: Column) -> Column:
     parts = []
     for child in rule.fields:
-        absent = F.array(_missing(child, path)) if child.required else _NO_ERRORS
+        absent = F.array(_missing(child, path)) if child.required else empty_array("string")
         parts.append(
             let(
                 F.try_element_at(entries, F.lit(child.name)),
@@ -214,7 +212,7 @@ def _variant_object(rule: Rule, entries: Column, path: Column) -> Column:
         declared = F.array(*[F.lit(r.name) for r in rule.fields])
         extra = F.array_sort(F.array_except(F.map_keys(entries), declared))
         parts.append(F.transform(extra, lambda k: _error(path, F.concat(k, F.lit(" is unexpected")))))
-    return F.concat(*parts) if parts else _NO_ERRORS
+    return F.concat(*parts) if parts else empty_array("string")
 
 
 def variant_errors(rule: Rule, record: Column) -> Column:

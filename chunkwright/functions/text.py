@@ -33,3 +33,8 @@ def universal_newlines(col: Column) -> Column:
 def let(value: Column, body) -> Column:
     """Bind ``value`` once inside a lambda so ``body`` may use it many times."""
     return F.transform(F.array(value), body).getItem(0)
+
+
+def empty_array(element: str) -> Column:
+    """An empty array of the given element type."""
+    return F.array().cast(f"array<{element}>")

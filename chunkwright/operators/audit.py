@@ -10,20 +10,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.functions.jsonfix import parse_strict
-from chunkwright.operators.validation import RULES, validate_json
 from chunkwright.functions.rules import variant_errors
+from chunkwright.operators.validation import RULES
+from chunkwright.session import once
 
 
 def audit_lines(lines: DataFrame) -> DataFrame:
     """Add ``parsed``, ``errors``, ``valid`` and the record's ``project``."""
-    record = lines.withColumn("_record", parse_strict(F.col("value")))
-    checked = record.withColumn(
-        "errors",
-        F.when(F.col("_record").isNull(), F.array(F.lit("JSON parse error"))).otherwise(
-            variant_errors(RULES["chunk"], F.col("_record"))
-        ),
+    record = once(lines, {"_record": parse_strict(F.col("value"))})
+    errors = F.when(F.col("_record").isNull(), F.array(F.lit("JSON parse error"))).otherwise(
+        variant_errors(RULES["chunk"], F.col("_record"))
     )
-    return checked.select(
+    return once(record, {"errors": errors}).select(
         *lines.columns,
         F.col("_record").isNotNull().alias("parsed"),
         "errors",

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkwright.functions.jsonfix import parse_reply
+from chunkwright.functions.text import empty_array
 from chunkwright.operators.prompts import SOLUTION_BEGIN, SOLUTION_END, THOUGHT_BEGIN, THOUGHT_END
 from chunkwright.operators.validation import record_errors
 from chunkwright.schemas import CHECK_NAMES
+from chunkwright.session import once
 
 ITEM_FIELDS = ["id", "system_prompt", "metadata", "messages", "problem", "solution", "created_at"]
 
@@ -62,7 +64,7 @@ def local_checks(
         raise ValueError(f"unknown checks: {sorted(unknown)}")
     chosen = {name: c for name, c in known.items() if checks is None or name in checks}
     chosen.update(extra_checks or {})
-    judged = items.withColumn("checks", F.struct(*[c.alias(name) for name, c in chosen.items()]))
+    judged = once(items, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])})
     failed = F.array(*[F.when(~F.col(f"checks.{name}"), F.lit(name)) for name in chosen])
     return judged.withColumn("errors", F.filter(failed, lambda e: e.isNotNull()))
 
@@ -78,7 +80,8 @@ def read_verdicts(replies: DataFrame) -> DataFrame:
     A reply that failed or cannot be read leaves ``model_passed`` NULL and says why in
     ``model_note``.  A missing verdict counts as not passed, a missing error list as empty.
     """
-    parsed = replies.select("request_id", "status", "error", parse_reply(F.col("content"))["value"].alias("_v"))
+    read = once(replies, {"_reply": parse_reply(F.col("content"))})
+    parsed = read.select("request_id", "status", "error", F.col("_reply.value").alias("_v"))
     fields = F.try_variant_get("_v", "$", "map<string,variant>")
     listed = F.try_variant_get("_v", "$.errors", "variant")
     errors = F.try_variant_get("_v", "$.errors", "array<string>")
@@ -88,13 +91,13 @@ def read_verdicts(replies: DataFrame) -> DataFrame:
         .when(fields.isNull(), "Model verification error: reply is no object")
         .when(listed.isNotNull() & errors.isNull(), "Model verification error: errors is no list")
     )
-    return parsed.withColumn("model_note", note).select(
+    # Any value but these counts as a pass: the verdict's truth is that of its JSON value.
+    passed = F.try_variant_get("_v", "$.passed", "variant")
+    truth = passed.isNotNull() & ~F.to_json(passed).isin("false", "null", "0", "0.0", '""', "[]", "{}")
+    return once(parsed, {"model_note": note}).select(
         "request_id",
-        F.when(
-            F.col("model_note").isNull(),
-            F.coalesce(F.try_variant_get("_v", "$.passed", "boolean"), F.lit(False)),
-        ).alias("model_passed"),
-        F.when(F.col("model_note").isNull(), F.coalesce(errors, F.array().cast("array<string>"))).alias("model_errors"),
+        F.when(F.col("model_note").isNull(), F.coalesce(truth, F.lit(False))).alias("model_passed"),
+        F.when(F.col("model_note").isNull(), F.coalesce(errors, empty_array("string"))).alias("model_errors"),
         "model_note",
     )
 
@@ -117,7 +120,7 @@ def merge_verdicts(
             clean & F.col("model_passed").isNull(),
             F.array(F.coalesce("model_note", F.lit("Model verification error: no reply"))),
         )
-        empty = F.array().cast("array<string>")
+        empty = empty_array("string")
         merged = joined.withColumns(
             {
                 "passed": clean & F.coalesce("model_passed", F.lit(fail_open)),

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.functions.ids import chunk_id
-from chunkwright.functions.text import BLANK, let
+from chunkwright.functions.text import BLANK, empty_array, let
 from chunkwright.functions.tokens import Tokenizer, get_tokenizer
 
 # A line that starts here is a heading, or is blank, or has a rule line below it.
@@ -28,7 +28,6 @@ _BREAK_AT_START = (
     rf"\A(?:{BLANK}*+#|[^\n]*+\n{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z))"
 )
 
-_NO_INTS = F.array().cast("array<int>")
 _BLOCK = 512
 
 
@@ -77,7 +76,7 @@ def semantic_breaks(text: Column) -> Column:
     def running(block, at):
         return F.aggregate(
             block,
-            F.struct(at.alias("at"), _NO_INTS.alias("out")),
+            F.struct(at.alias("at"), empty_array("int").alias("out")),
             lambda acc, n: F.struct(
                 (acc["at"] + n).alias("at"),
                 F.concat(acc["out"], F.array(acc["at"] + n)).alias("out"),
@@ -86,7 +85,7 @@ def semantic_breaks(text: Column) -> Column:
 
     later = F.aggregate(
         blocks,
-        F.struct(F.lit(0).alias("at"), _NO_INTS.alias("out")),
+        F.struct(F.lit(0).alias("at"), empty_array("int").alias("out")),
         lambda acc, block: let(
             running(block, acc["at"]),
             lambda r: F.struct(
@@ -95,7 +94,7 @@ def semantic_breaks(text: Column) -> Column:
         ),
         lambda acc: acc["out"],
     )
-    return F.concat(F.when(text.rlike(_BREAK_AT_START), F.array(F.lit(0))).otherwise(_NO_INTS), later)
+    return F.concat(F.when(text.rlike(_BREAK_AT_START), F.array(F.lit(0))).otherwise(empty_array("int")), later)
 
 
 def _chunk_ends(pieces: Column, opt: ChunkOptions) -> Column:
@@ -132,10 +131,10 @@ def _chunk_ends(pieces: Column, opt: ChunkOptions) -> Column:
         steps = F.greatest(F.ceil((end - reach - target) / step), F.lit(0)).cast("int")
         even = F.when(
             steps > 0, F.transform(F.sequence(F.lit(0), steps - 1), lambda i: target + i * step)
-        ).otherwise(_NO_INTS)
+        ).otherwise(empty_array("int"))
         closing = F.when(
             ~piece["last"] & (first < end) & (target + steps * step < end), F.array(end)
-        ).otherwise(_NO_INTS)
+        ).otherwise(empty_array("int"))
         return F.concat(F.array(first), even, closing)
 
     def advance(acc, piece):
@@ -172,7 +171,7 @@ def _chunk_ends(pieces: Column, opt: ChunkOptions) -> Column:
     zero = F.struct(
         F.lit(0).alias("start"),
         F.lit(0).alias("done"),
-        _NO_INTS.alias("ends"),
+        empty_array("int").alias("ends"),
     )
     return F.aggregate(pieces, zero, advance, finish)
 

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkwright.functions.text import empty_array
 from chunkwright.operators.ranking import running_totals
 
 # The default split and shard size, and the shard file name.
@@ -99,7 +100,7 @@ def split_table(counts: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
     num_shards = F.ceil(F.col("num_items") / shard_size).cast("bigint")
     shards = F.transform(
         F.when(num_shards > 0, F.sequence(F.lit(0).cast("bigint"), num_shards - 1)).otherwise(
-            F.array().cast("array<bigint>")
+            empty_array("bigint")
         ),
         lambda i: F.struct(
             F.format_string(SHARD_FILE, F.col("split"), i).alias("file"),

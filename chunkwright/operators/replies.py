@@ -12,6 +12,7 @@ from chunkwright.functions.ids import stable_uuid
 from chunkwright.functions.jsonfix import extract_fenced, json_problem, parse_reply, repair_escapes
 from chunkwright.functions.text import is_blank
 from chunkwright.operators.prompts import GENERATION_SYSTEM
+from chunkwright.session import once
 
 
 def parse_replies(replies: DataFrame) -> DataFrame:
@@ -20,15 +21,12 @@ def parse_replies(replies: DataFrame) -> DataFrame:
     ``replies`` has ``content`` and whatever columns identify the chunk.  A value that is
     no array counts as an array of one.  One element that is no object fails the reply.
     """
-    parsed = replies.withColumn("_parsed", parse_reply(F.col("content")))
+    parsed = once(replies, {"_parsed": parse_reply(F.col("content"))})
     value = F.col("_parsed.value")
-    listed = parsed.select(
-        *replies.columns,
-        F.col("_parsed.stage").alias("stage"),
-        F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value))).alias(
-            "elements"
-        ),
+    elements = F.coalesce(
+        F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value))
     )
+    listed = once(parsed, {"stage": F.col("_parsed.stage"), "elements": elements}).drop("_parsed")
     no_object = F.exists("elements", lambda e: F.try_variant_get(e, "$", "map<string,variant>").isNull())
     return listed.withColumn(
         "failure",
@@ -45,20 +43,15 @@ def reply_elements(parsed: DataFrame) -> DataFrame:
     of another type stays visible through ``problem_is_text`` and ``solution_is_text``.
     """
     keep = [c for c in parsed.columns if c not in ("content", "stage", "elements", "failure")]
-    exploded = parsed.where(F.col("failure").isNull()).select(*keep, F.posexplode("elements").alias("position", "_e"))
-
-    def field(name: str) -> Column:
-        return F.try_variant_get("_e", f"$.{name}", "variant")
-
-    both = field("problem").isNotNull() & field("solution").isNotNull()
-    return exploded.where(both).select(
-        *keep,
-        "position",
-        F.try_variant_get("_e", "$.problem", "string").alias("problem"),
-        F.try_variant_get("_e", "$.solution", "string").alias("solution"),
-        (F.schema_of_variant(field("problem")) == "STRING").alias("problem_is_text"),
-        (F.schema_of_variant(field("solution")) == "STRING").alias("solution_is_text"),
+    exploded = parsed.where(F.col("failure").isNull()).select(
+        *keep, F.posexplode_outer("elements").alias("position", "_e")
     )
+    found = once(
+        exploded, {f"_{n}": F.try_variant_get("_e", f"$.{n}", "variant") for n in ("problem", "solution")}
+    ).where(F.col("_problem").isNotNull() & F.col("_solution").isNotNull())
+    texts = {n: F.try_variant_get(f"_{n}", "$", "string") for n in ("problem", "solution")}
+    kinds = {f"{n}_is_text": F.schema_of_variant(f"_{n}") == "STRING" for n in ("problem", "solution")}
+    return once(found, {**texts, **kinds}).select(*keep, "position", *texts, *kinds)
 
 
 def build_items(

@@ -10,6 +10,7 @@ from chunkwright import schemas
 from chunkwright.functions.ids import CHUNK_ID_PATTERN, RUN_ID_PATTERN, SHA1_PATTERN, UUID_PATTERN
 from chunkwright.functions.jsonfix import parse_strict
 from chunkwright.functions.rules import Rule, typed_errors, variant_errors
+from chunkwright.session import once
 
 
 def _text(name: str = "", **kw) -> Rule:
@@ -147,17 +148,17 @@ def validate(df: DataFrame, kind: str, columns: list[str] | None = None) -> Data
     ``columns`` names the columns that form the record; the others pass through.
     """
     schema = df.select(*columns).schema if columns else df.schema
-    checked = df.withColumn("errors", record_errors(kind, schema))
+    checked = once(df, {"errors": record_errors(kind, schema)})
     return checked.withColumn("valid", F.size("errors") == 0)
 
 
 def validate_json(df: DataFrame, kind: str, line: str = "value") -> DataFrame:
     """Add ``errors`` and ``valid`` for JSON texts; a text that does not parse has one error."""
-    parsed = df.withColumn("_record", parse_strict(F.col(line)))
+    parsed = once(df, {"_record": parse_strict(F.col(line))})
     errors = F.when(F.col("_record").isNull(), F.array(F.lit("Invalid JSON"))).otherwise(
         variant_errors(RULES[kind], F.col("_record"))
     )
-    return parsed.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0).drop("_record")
+    return once(parsed, {"errors": errors}).withColumn("valid", F.size("errors") == 0).drop("_record")
 
 
 def require_valid(df: DataFrame, kind: str) -> DataFrame:

@@ -1,11 +1,13 @@
-"""Session settings and the two physical helpers the stages share."""
+"""Session settings and the physical helpers the stages share."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Run-time settings that results depend on.
 REQUIRED_CONF = {
@@ -35,6 +37,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(2 * cores, *keys)
 
 
+def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that are computed exactly once per row, however often they are used.
+
+    Spark copies the expression of a projected column into the filters and projections
+    that use it.  For a costly one (a parse, a fold) that repeats the work and swells the
+    plan.  Expressions are not copied across a generator, so the columns pass through one
+    that yields a single row.
+    """
+    row = F.explode_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*df.columns, row.alias("_once")).select(*kept, *[F.col(f"_once.{n}").alias(n) for n in columns])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates, as named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
