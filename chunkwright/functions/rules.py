@@ -101,7 +101,7 @@ def _typed(rule: Rule, value: Column, dtype: T.DataType, path: Column) -> Column
             )
         ) if rule.each else empty_array("string")
         return F.concat(_collect(size), inner)
-    return _typed_fields(rule, lambda name: value.getField(name), dtype, path)
+    return let(value, lambda v: _typed_fields(rule, v.getField, dtype, path))
 
 
 def _typed_fields(rule: Rule, get, dtype: T.StructType, path: Column) -> Column:
@@ -197,17 +197,14 @@ def _variant_map(rule: Rule, entries: Column, path: Column) -> Column:
 
 
 def _variant_object(rule: Rule, entries: Column, path: Column) -> Column:
-    parts = []
-    for child in rule.fields:
+    def field(child: Rule) -> Column:
         absent = F.array(_missing(child, path)) if child.required else empty_array("string")
-        parts.append(
-            let(
-                F.try_element_at(entries, F.lit(child.name)),
-                lambda v, child=child, absent=absent: F.when(v.isNull(), absent).otherwise(
-                    _variant(child, v, _join(path, F.lit(child.name)))
-                ),
-            )
+        return let(
+            F.try_element_at(entries, F.lit(child.name)),
+            lambda v: F.when(v.isNull(), absent).otherwise(_variant(child, v, _join(path, F.lit(child.name)))),
         )
+
+    parts = [field(child) for child in rule.fields]
     if rule.closed:
         declared = F.array(*[F.lit(r.name) for r in rule.fields])
         extra = F.array_sort(F.array_except(F.map_keys(entries), declared))

@@ -17,6 +17,21 @@ REQUIRED_CONF = {
 }
 
 
+def get_spark(cores: str = "*", memory: str = "16g") -> SparkSession:
+    """A local session with the settings used for tests and benchmarks."""
+    return configure(
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName("chunkwright")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Recording a call site per expression costs more than building the plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
+    )
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings that results depend on."""
     for key, value in REQUIRED_CONF.items():
@@ -43,11 +58,12 @@ def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     Spark copies the expression of a projected column into the filters and projections
     that use it.  For a costly one (a parse, a fold) that repeats the work and swells the
     plan.  Expressions are not copied across a generator, so the columns pass through one
-    that yields a single row.
+    that yields a single row.  Bind a struct column with ``let`` before reading its fields
+    here: Spark may otherwise prune the column below the generator and lose it above.
     """
-    row = F.explode_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    row = F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))
     kept = [c for c in df.columns if c not in columns]
-    return df.select(*df.columns, row.alias("_once")).select(*kept, *[F.col(f"_once.{n}").alias(n) for n in columns])
+    return df.select(*kept, F.inline_outer(row))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

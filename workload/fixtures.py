@@ -160,14 +160,13 @@ def checked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.local_checks(items(spark, sf_dir))
 
 
-def verdict_replies(spark: SparkSession, sf_dir: str, checked: DataFrame) -> DataFrame:
-    """Replies of the verifying model for the clean items of labelled documents."""
-    clean = checks.needs_verdict(checked).select(
-        F.col("id").alias("request_id"),
-        F.regexp_replace("metadata.file_name", "[.]md$", "").cast("bigint").alias("doc_id"),
+def verdict_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies of the verifying model for both item positions of labelled documents."""
+    asked = chunks(spark, sf_dir).select(
+        F.expr(DOC_ID).alias("doc_id"), "chunk_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("position")
     )
-    return clean.join(table(spark, sf_dir, "labels"), "doc_id").select(
-        "request_id",
+    return asked.join(table(spark, sf_dir, "labels"), "doc_id").select(
+        stable_uuid(F.col("chunk_id"), F.col("position")).alias("request_id"),
         F.lit("ok").alias("status"),
         F.expr(VERDICT_REPLY).alias("content"),
         F.lit(None).cast("string").alias("error"),
@@ -175,9 +174,8 @@ def verdict_replies(spark: SparkSession, sf_dir: str, checked: DataFrame) -> Dat
 
 
 def reported_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = checked_items(spark, sf_dir)
-    verdicts = checks.read_verdicts(verdict_replies(spark, sf_dir, checked))
-    return checks.merge_verdicts(checked, verdicts, STAMP)
+    verdicts = checks.read_verdicts(verdict_replies(spark, sf_dir))
+    return checks.merge_verdicts(checked_items(spark, sf_dir), verdicts, STAMP)
 
 
 # Faults planted in conversation items, by conversation.

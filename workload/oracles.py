@@ -277,7 +277,7 @@ def build() -> dict[str, str]:
     out["parse_stage_stats"] = f"""{REPLIES} SELECT CASE WHEN k IN (8, 9) THEN 0 WHEN k = 3 THEN 3 WHEN k = 4 THEN 2 WHEN k = 5 THEN 4 ELSE 1 END AS stage,
       count(*) AS replies FROM replies GROUP BY 1"""
     out["failed_replies"] = f"""{REPLIES} SELECT chunk_id, CASE k WHEN 8 THEN 'no JSON' WHEN 9 THEN 'empty reply' ELSE 'element is no object' END AS failure,
-      content AS raw, body AS extracted, body AS sanitized, CASE k WHEN 8 THEN 'INVALID' WHEN 9 THEN 'EMPTY' ELSE 'VALID' END AS json,
+      content AS raw, trim(body) AS extracted, trim(body) AS sanitized, CASE k WHEN 8 THEN 'INVALID' WHEN 9 THEN 'EMPTY' ELSE 'VALID' END AS json,
       CAST(length(content) AS INTEGER) AS content_length FROM replies WHERE k IN (8, 9, 10)"""
     out["failed_chunks"] = f"""{REPLIES} SELECT chunk_id, project, file_path, chunk_index, text,
       CASE k WHEN 9 THEN 'empty' ELSE 'unreadable' END AS error_type,

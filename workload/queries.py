@@ -464,7 +464,7 @@ def dataset_info(spark, sf_dir):
 
 @query
 def manifest_validation(spark, sf_dir):
-    table = _split_table(spark, sf_dir, {"all": 1.0, "none": 0.0, "rest": 0.005})
+    table = _split_table(spark, sf_dir, {"most": 0.6, "none": 0.0, "rest": 0.4})
     made = packing.manifest(table, fx.RUN_ID, fx.SEED, fx.STAMP)
     text = made.select("total_items", F.to_json(F.struct("*")).alias("value"))
     return validate_json(text, "manifest").select("total_items", "valid", _joined(by="; "))
