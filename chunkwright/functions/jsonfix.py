@@ -60,7 +60,7 @@ def parse_reply(reply: Column, sanitize: bool = True, extract: bool = True) -> C
     """``STRUCT<value VARIANT, stage INT>``; NULL when nothing parses.
 
     Stages in order: 1 as it is, 2 escapes repaired, 3 commas dropped, 4 both.
-    Later stages run only for the replies that need them.
+    A later stage runs only where the ones before failed and its text differs from theirs.
     """
 
     def attempt(candidate: Column, stage: int) -> Column:
@@ -69,14 +69,24 @@ def parse_reply(reply: Column, sanitize: bool = True, extract: bool = True) -> C
             lambda v: F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit(stage).alias("stage"))),
         )
 
+    def repaired(text: Column, escaped: Column, trimmed: Column) -> Column:
+        both = let(
+            drop_trailing_commas(escaped),
+            lambda t: F.when((t != escaped) & (t != trimmed), attempt(t, 4)),
+        )
+        return F.coalesce(
+            F.when(escaped != text, attempt(escaped, 2)), F.when(trimmed != text, attempt(trimmed, 3)), both
+        )
+
     def ladder(text: Column) -> Column:
-        steps = [attempt(text, 1)]
-        if sanitize:
-            steps.append(attempt(repair_escapes(text), 2))
-        steps.append(attempt(drop_trailing_commas(text), 3))
-        if sanitize:
-            steps.append(attempt(drop_trailing_commas(repair_escapes(text)), 4))
-        return F.coalesce(*steps)
+        fixed = let(
+            F.struct(
+                (repair_escapes(text) if sanitize else text).alias("escaped"),
+                drop_trailing_commas(text).alias("trimmed"),
+            ),
+            lambda c: repaired(text, c["escaped"], c["trimmed"]),
+        )
+        return F.coalesce(attempt(text, 1), fixed)
 
     return let(extract_fenced(reply) if extract else reply, ladder)
 

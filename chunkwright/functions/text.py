@@ -11,18 +11,25 @@ BLANK_CHARS = (
     r"\t\x0b\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# The same characters and the newline, one by one.
+WHITESPACE = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 BLANK = f"[{BLANK_CHARS}]"
 SPACE = rf"[\n{BLANK_CHARS}]"
+# A character of a word.  The plain ranges come first, so most text never meets the long class.
+WORD_CHAR = rf"[!-~\x{{a1}}-\x{{167f}}[^\n{BLANK_CHARS}]]"
 
 
 def strip(col: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace (``trim`` removes only blanks)."""
-    return F.regexp_replace(col, rf"^{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    """Remove leading and trailing Unicode whitespace; looks only at the two ends."""
+    return F.btrim(col, F.lit(WHITESPACE))
 
 
 def is_blank(col: Column) -> Column:
     """True for an empty or whitespace-only string."""
-    return ~col.rlike(rf"[^\n{BLANK_CHARS}]")
+    return F.length(strip(col)) == 0
 
 
 def universal_newlines(col: Column) -> Column:

@@ -6,19 +6,18 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chunkwright.functions.jsonfix import parse_reply
 from chunkwright.functions.text import empty_array
 from chunkwright.operators.prompts import SOLUTION_BEGIN, SOLUTION_END, THOUGHT_BEGIN, THOUGHT_END
-from chunkwright.operators.validation import record_errors
+from chunkwright.operators.validation import record_valid
 from chunkwright.schemas import CHECK_NAMES
 from chunkwright.session import once
 
 ITEM_FIELDS = ["id", "system_prompt", "metadata", "messages", "problem", "solution", "created_at"]
 
 
-def check_columns(item_schema: T.StructType) -> dict[str, Column]:
+def check_columns(schema_valid: Column) -> dict[str, Column]:
     """The twelve checks by name, in report order, over the columns of an item row."""
     solution = F.coalesce(F.col("solution"), F.lit(""))
 
@@ -32,7 +31,7 @@ def check_columns(item_schema: T.StructType) -> dict[str, Column]:
 
     roles = F.transform("messages", lambda m: m["role"])
     values = {
-        "json_schema_valid": F.size(record_errors("item", item_schema)) == 0,
+        "json_schema_valid": schema_valid,
         "messages_shape_valid": F.coalesce(roles == F.array(F.lit("user"), F.lit("assistant")), F.lit(False)),
         "has_thought_begin_token": tb > 0,
         "has_thought_end_token": te > 0,
@@ -58,15 +57,16 @@ def local_checks(
     All checks run unless ``checks`` selects some; ``extra_checks`` adds named boolean
     columns of your own.
     """
-    known = check_columns(items.select(*ITEM_FIELDS).schema)
+    known = check_columns(F.col("_schema_valid"))
     unknown = set(checks or ()) - set(known)
     if unknown:
         raise ValueError(f"unknown checks: {sorted(unknown)}")
     chosen = {name: c for name, c in known.items() if checks is None or name in checks}
     chosen.update(extra_checks or {})
-    judged = once(items, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])})
+    tested = items.withColumn("_schema_valid", record_valid("item", items.select(*ITEM_FIELDS).schema))
+    judged = once(tested, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])}).drop("_schema_valid")
     failed = F.array(*[F.when(~F.col(f"checks.{name}"), F.lit(name)) for name in chosen])
-    return judged.withColumn("errors", F.filter(failed, lambda e: e.isNotNull()))
+    return judged.withColumn("errors", F.array_except(failed, F.array(F.lit(None).cast("string"))))
 
 
 def needs_verdict(checked: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkwright.functions.text import BLANK_CHARS
+from chunkwright.functions.text import WORD_CHAR
 from chunkwright.operators.ranking import running_totals
+from chunkwright.session import durable
 
 # Tokens per word of the estimate, and the default budget per minute.
 TOKENS_PER_WORD = 1.3
@@ -16,7 +17,7 @@ TOKENS_PER_MINUTE = 200_000
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words."""
-    return F.regexp_count(text, F.lit(rf"[^\n{BLANK_CHARS}]+"))
+    return F.regexp_count(text, F.lit(f"{WORD_CHAR}++"))
 
 
 def token_estimate(messages: Column, max_tokens: int = 4096) -> Column:
@@ -43,12 +44,14 @@ def request_plan(
     if requests_per_minute <= 0 or tokens_per_minute <= 0:
         raise ValueError("budgets must be positive")
     lanes = [lane] if lane else []
-    sized = requests.select(
-        "request_id",
-        *lanes,
-        F.sha2("request_id", 256).alias("_digest"),
-        token_estimate(F.col("messages"), max_tokens).alias("estimate"),
-    ).withColumn("rejected", F.col("estimate") > tokens_per_minute)
+    # The texts are read once: the plan below passes twice over the small table of estimates.
+    estimates = durable(
+        requests.select("request_id", *lanes, token_estimate(F.col("messages"), max_tokens).alias("estimate")),
+        "estimates",
+    )
+    sized = estimates.withColumns(
+        {"_digest": F.sha2("request_id", 256), "rejected": F.col("estimate") > tokens_per_minute}
+    )
     charged = running_totals(
         sized,
         "_digest",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from chunkwright import schemas
 from chunkwright.functions.ids import CHUNK_ID_PATTERN, RUN_ID_PATTERN, SHA1_PATTERN, UUID_PATTERN
 from chunkwright.functions.jsonfix import parse_strict
-from chunkwright.functions.rules import Rule, typed_errors, variant_errors
+from chunkwright.functions.rules import Rule, typed_errors, typed_valid, variant_errors
 from chunkwright.session import once
 
 
@@ -142,6 +142,11 @@ def record_errors(kind: str, schema: T.StructType, record: Column | None = None)
     return typed_errors(RULES[kind], schema, record)
 
 
+def record_valid(kind: str, schema: T.StructType) -> Column:
+    """Whether the row's own columns form a valid record of the given kind."""
+    return typed_valid(RULES[kind], schema)
+
+
 def validate(df: DataFrame, kind: str, columns: list[str] | None = None) -> DataFrame:
     """Add ``errors`` and ``valid`` for rows that are records of the given kind.
 
@@ -163,10 +168,9 @@ def validate_json(df: DataFrame, kind: str, line: str = "value") -> DataFrame:
 
 def require_valid(df: DataFrame, kind: str) -> DataFrame:
     """The rows unchanged; the job fails at the first record that breaks a rule."""
-    checked = F.when(
-        F.size("errors") == 0, F.lit(True)
-    ).otherwise(F.raise_error(F.concat(F.lit(f"Invalid {kind}: "), F.array_join("errors", "; "))).cast("boolean"))
-    return validate(df, kind).where(checked).drop("errors", "valid")
+    good = record_valid(kind, df.schema)
+    why = F.concat(F.lit(f"Invalid {kind}: "), F.array_join(record_errors(kind, df.schema), "; "))
+    return df.where(F.when(good, F.lit(True)).otherwise(F.raise_error(why).cast("boolean")))
 
 
 def file_report(lines: DataFrame, kind: str) -> DataFrame:

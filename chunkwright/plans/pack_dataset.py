@@ -24,7 +24,7 @@ def pack_dataset(
     shard_size: int = packing.SHARD_SIZE,
     with_manifest: bool = True,
 ) -> DataFrame:
-    """Write ``output/shards`` and the two summary files; return the split table.
+    """Write ``output/shards/*.jsonl`` and the two summary files; return the split table.
 
     Lines that break the item rules are left out of the dataset, as its rules ask; count
     them with ``read_verified``.  Without any valid item nothing is written.
@@ -38,14 +38,13 @@ def pack_dataset(
     table = packing.split_table(packing.split_counts(placed, ratios), shard_size)
     if items.isEmpty():
         return table
-    write_named_lines(sharded.select("file", "rank_in_split", "value"), f"{output}/shards", order="rank_in_split")
+    lines = sharded.select(F.concat(F.lit("shards/"), "file").alias("file"), "rank_in_split", "value")
     info = packing.dataset_info(table, run_id, seed, created_at)
-    documents = [info.select(F.lit("dataset_info.json").alias("file"), F.to_json(F.struct("*")).alias("value"))]
+    summaries = {"dataset_info.json": info}
     if with_manifest:
-        full = packing.manifest(table, run_id, seed, created_at)
-        documents.append(full.select(F.lit("manifest.json").alias("file"), F.to_json(F.struct("*")).alias("value")))
-    summary = documents[0]
-    for extra in documents[1:]:
-        summary = summary.unionByName(extra)
-    write_named_lines(summary, f"{output}/info")
+        summaries["manifest.json"] = packing.manifest(table, run_id, seed, created_at)
+    for name, row in summaries.items():
+        text = row.select(F.lit(name).alias("file"), F.lit(0).alias("rank_in_split"), F.to_json(F.struct("*")).alias("value"))
+        lines = lines.unionByName(text)
+    write_named_lines(lines, output, order="rank_in_split")
     return table

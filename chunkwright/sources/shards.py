@@ -20,6 +20,10 @@ class Written(WriterCommitMessage):
     files: int
 
 
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 class NamedLinesWriter(DataSourceArrowWriter):
     """Each task writes whole files: rows of one file stand together in one partition.
 
@@ -29,18 +33,14 @@ class NamedLinesWriter(DataSourceArrowWriter):
 
     def __init__(self, path: str, overwrite: bool):
         self.path = path
-        target, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        target, root = _file_system(path)
         there = target.get_file_info(root).type != fs.FileType.NotFound
-        if there and overwrite:
-            target.delete_dir_contents(root)
-        elif there and target.get_file_info(fs.FileSelector(root)):
+        if there and not overwrite and target.get_file_info(fs.FileSelector(root)):
             raise ValueError(f"{path} exists and is not empty")
         target.create_dir(root, recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        target, root = (
-            fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
-        )
+        target, root = _file_system(self.path)
         name, temp, out, files = None, None, None, 0
 
         def close():
@@ -56,7 +56,9 @@ class NamedLinesWriter(DataSourceArrowWriter):
                 if run != name:
                     close()
                     name, files = run, files + 1
-                    temp = f"{root}/.{name}.{uuid.uuid4().hex}"
+                    folder, _, base = f"{root}/{name}".rpartition("/")
+                    target.create_dir(folder, recursive=True)
+                    temp = f"{folder}/.{base}.{uuid.uuid4().hex}"
                     out = target.open_output_stream(temp)
                 lines = values.slice(start, end - start).to_pylist()
                 out.write(("\n".join(lines) + "\n").encode("utf-8"))
@@ -83,7 +85,9 @@ class NamedLines(DataSource):
 def write_named_lines(df: DataFrame, path: str, order: str | None = None, overwrite: bool = True) -> None:
     """Write ``(file, value)`` rows; ``order`` names the column that orders the lines of a file.
 
-    ``path`` is a folder all executors share: a mounted path or a file system URI.
+    ``path`` is a folder all executors share: a mounted path or a file system URI.  File names
+    may hold folders.  Existing files of the same names are replaced, others are left alone;
+    without ``overwrite`` the folder must be empty.
     """
     df.sparkSession.dataSource.register(NamedLines)
     placed = df.repartition("file").sortWithinPartitions("file", *([order] if order else []))

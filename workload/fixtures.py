@@ -20,7 +20,7 @@ from chunkwright.operators.prompts import (
     THOUGHT_BEGIN,
     THOUGHT_END,
 )
-from chunkwright.session import configure, once, spread
+from chunkwright.session import configure, durable, once, spread
 
 STAMP = "2024-01-01T00:00:00Z"
 RUN_ID = "run_20240101_000000"
@@ -140,29 +140,37 @@ def chunks(spark: SparkSession, sf_dir: str, options: ChunkOptions = SMALL) -> D
     return chunk_documents(documents(spark, sf_dir), options, STAMP)
 
 
-def chunk_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stored_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunk table written once, for queries that read it several times.
+
+    Cutting chunks is the costly step; reading back a few columns of them is not.
+    """
+    return durable(chunks(spark, sf_dir), "chunks")
+
+
+def chunk_replies(made: DataFrame) -> DataFrame:
     """One made-up reply per chunk, twelve cases around two known items."""
-    keyed = chunks(spark, sf_dir).withColumn("doc_id", F.expr(DOC_ID))
     keep = ["doc_id", "chunk_id", "project", "file_path", "file_name", "chunk_index"]
-    parts = once(keyed.select(*keep, "text"), {name: F.expr(sql) for name, sql in REPLY_PARTS.items()})
+    keyed = made.withColumn("doc_id", F.expr(DOC_ID)).select(*keep, "text")
+    parts = once(keyed, {name: F.expr(sql) for name, sql in REPLY_PARTS.items()})
     return once(once(parts, {"body": F.expr(REPLY_BODY)}), {"content": F.expr(REPLY)}).select(*keep, "content")
 
 
-def parsed_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replies.parse_replies(chunk_replies(spark, sf_dir).drop("doc_id"))
+def parsed_replies(made: DataFrame) -> DataFrame:
+    return replies.parse_replies(chunk_replies(made).drop("doc_id"))
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replies.build_items(replies.reply_elements(parsed_replies(spark, sf_dir)), STAMP)
+def items(made: DataFrame) -> DataFrame:
+    return replies.build_items(replies.reply_elements(parsed_replies(made)), STAMP)
 
 
-def checked_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.local_checks(items(spark, sf_dir))
+def checked_items(made: DataFrame) -> DataFrame:
+    return checks.local_checks(items(made))
 
 
-def verdict_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def verdict_replies(spark: SparkSession, sf_dir: str, made: DataFrame) -> DataFrame:
     """Replies of the verifying model for both item positions of labelled documents."""
-    asked = chunks(spark, sf_dir).select(
+    asked = made.select(
         F.expr(DOC_ID).alias("doc_id"), "chunk_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("position")
     )
     return asked.join(table(spark, sf_dir, "labels"), "doc_id").select(
@@ -173,9 +181,9 @@ def verdict_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reported_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = checks.read_verdicts(verdict_replies(spark, sf_dir))
-    return checks.merge_verdicts(checked_items(spark, sf_dir), verdicts, STAMP)
+def reported_items(spark: SparkSession, sf_dir: str, made: DataFrame) -> DataFrame:
+    verdicts = checks.read_verdicts(verdict_replies(spark, sf_dir, made))
+    return checks.merge_verdicts(checked_items(made), verdicts, STAMP)
 
 
 # Faults planted in conversation items, by conversation.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chunkwright.functions import ids, jsonfix, tokens
 from chunkwright.operators import audit, checks, chunking, completion, outcomes, packing, prompts, replies, requests
 from chunkwright.operators.validation import validate, validate_json
+from chunkwright.session import durable
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,9 +161,9 @@ def gen_requests(spark, sf_dir):
 
 @query
 def verify_requests(spark, sf_dir):
-    clean = checks.needs_verdict(fx.checked_items(spark, sf_dir))
-    made = prompts.verification_requests(clean, fx.chunks(spark, sf_dir))
-    return made.select("request_id", F.col("messages")[1]["content"].alias("user_content"))
+    made = fx.stored_chunks(spark, sf_dir)
+    asked = prompts.verification_requests(checks.needs_verdict(fx.checked_items(made)), made)
+    return asked.select("request_id", F.col("messages")[1]["content"].alias("user_content"))
 
 
 @query
@@ -201,8 +202,9 @@ def completions(spark, sf_dir):
 
 @query
 def pending_chunks(spark, sf_dir):
-    verified = outcomes.verified_items(fx.reported_items(spark, sf_dir))
-    left = requests.pending_chunks(fx.chunks(spark, sf_dir), verified)
+    made = fx.stored_chunks(spark, sf_dir)
+    verified = outcomes.verified_items(fx.reported_items(spark, sf_dir, made))
+    left = requests.pending_chunks(made, verified)
     return left.select("chunk_id", "file_path", "chunk_index")
 
 
@@ -211,59 +213,60 @@ def pending_chunks(spark, sf_dir):
 
 @query
 def extract_fence(spark, sf_dir):
-    return fx.chunk_replies(spark, sf_dir).select("chunk_id", jsonfix.extract_fenced(F.col("content")).alias("extracted"))
+    return fx.chunk_replies(fx.chunks(spark, sf_dir)).select("chunk_id", jsonfix.extract_fenced(F.col("content")).alias("extracted"))
 
 
 @query
 def sanitize_escapes(spark, sf_dir):
-    return fx.chunk_replies(spark, sf_dir).select("chunk_id", jsonfix.repair_escapes(F.col("content")).alias("sanitized"))
+    return fx.chunk_replies(fx.chunks(spark, sf_dir)).select("chunk_id", jsonfix.repair_escapes(F.col("content")).alias("sanitized"))
 
 
 @query
 def strip_commas(spark, sf_dir):
-    return fx.chunk_replies(spark, sf_dir).select(
+    return fx.chunk_replies(fx.chunks(spark, sf_dir)).select(
         "chunk_id", jsonfix.drop_trailing_commas(F.col("content")).alias("stripped")
     )
 
 
 @query
 def json_validity(spark, sf_dir):
-    return fx.chunk_replies(spark, sf_dir).select("chunk_id", jsonfix.json_problem(F.col("content")).alias("problem"))
+    return fx.chunk_replies(fx.chunks(spark, sf_dir)).select("chunk_id", jsonfix.json_problem(F.col("content")).alias("problem"))
 
 
 @query
 def parse_robust(spark, sf_dir):
-    elements = replies.reply_elements(fx.parsed_replies(spark, sf_dir))
+    elements = replies.reply_elements(fx.parsed_replies(fx.chunks(spark, sf_dir)))
     return elements.select("chunk_id", "position", "problem", "solution", "problem_is_text")
 
 
 @query
 def parse_stage_stats(spark, sf_dir):
-    return replies.stage_stats(fx.parsed_replies(spark, sf_dir))
+    return replies.stage_stats(fx.parsed_replies(fx.chunks(spark, sf_dir)))
 
 
 @query
 def failed_replies(spark, sf_dir):
-    return replies.failed_replies(fx.parsed_replies(spark, sf_dir)).select(
+    return replies.failed_replies(fx.parsed_replies(fx.chunks(spark, sf_dir))).select(
         "chunk_id", "failure", "raw", "extracted", "sanitized", "json", "content_length"
     )
 
 
 @query
 def failed_chunks(spark, sf_dir):
-    content = fx.chunk_replies(spark, sf_dir).select("chunk_id", "content")
+    made = fx.stored_chunks(spark, sf_dir)
+    content = fx.chunk_replies(made).select("chunk_id", "content")
     blank = F.trim(F.regexp_replace("content", r"\s", "")) == ""
     answered = content.select(
         F.col("chunk_id").alias("request_id"),
         F.when(blank, "empty").otherwise("ok").alias("status"),
         F.when(blank, "empty reply after 3 attempts").alias("error"),
     )
-    return outcomes.failed_chunks(fx.chunks(spark, sf_dir), answered, fx.parsed_replies(spark, sf_dir))
+    return outcomes.failed_chunks(made, answered, fx.parsed_replies(made))
 
 
 @query
 def items(spark, sf_dir):
-    return fx.items(spark, sf_dir).select(
+    return fx.items(fx.chunks(spark, sf_dir)).select(
         "id",
         F.col("metadata.chunk_id").alias("chunk_id"),
         *[F.col(f"metadata.{c}").alias(c) for c in ("project", "file_path", "file_name", "chunk_index")],
@@ -282,31 +285,35 @@ def items(spark, sf_dir):
 
 @query
 def local_checks(spark, sf_dir):
-    return fx.checked_items(spark, sf_dir).select("id", "checks.*")
+    return fx.checked_items(fx.chunks(spark, sf_dir)).select("id", "checks.*")
 
 
 @query
 def check_errors(spark, sf_dir):
-    return fx.checked_items(spark, sf_dir).select("id", _joined())
+    return fx.checked_items(fx.chunks(spark, sf_dir)).select("id", _joined())
+
+
+def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.reported_items(spark, sf_dir, fx.stored_chunks(spark, sf_dir))
 
 
 @query
 def verdict_merge(spark, sf_dir):
-    return fx.reported_items(spark, sf_dir).select(
+    return _reported(spark, sf_dir).select(
         "id", F.col("metadata.chunk_id").alias("chunk_id"), "passed", _joined("verify_report.errors")
     )
 
 
 @query
 def verified_items(spark, sf_dir):
-    return outcomes.verified_items(fx.reported_items(spark, sf_dir)).select(
+    return outcomes.verified_items(_reported(spark, sf_dir)).select(
         "id", F.col("metadata.chunk_id").alias("chunk_id"), "problem", "solution"
     )
 
 
 @query
 def rejected_items(spark, sf_dir):
-    rejected = outcomes.rejected_items(fx.reported_items(spark, sf_dir))
+    rejected = outcomes.rejected_items(_reported(spark, sf_dir))
     return rejected.select(
         F.col("item.id").alias("id"),
         F.col("verify_report.chunk_id").alias("chunk_id"),
@@ -318,7 +325,8 @@ def rejected_items(spark, sf_dir):
 
 @query
 def chunk_item_stats(spark, sf_dir):
-    return outcomes.chunk_stats(fx.chunks(spark, sf_dir), fx.reported_items(spark, sf_dir))
+    made = fx.stored_chunks(spark, sf_dir)
+    return outcomes.chunk_stats(made, fx.reported_items(spark, sf_dir, made))
 
 
 @query
@@ -333,12 +341,12 @@ def first_failed_chunks(spark, sf_dir):
 
 @query
 def error_histogram(spark, sf_dir):
-    return outcomes.error_histogram(fx.reported_items(spark, sf_dir))
+    return outcomes.error_histogram(_reported(spark, sf_dir))
 
 
 @query
 def report_validation(spark, sf_dir):
-    reported = fx.reported_items(spark, sf_dir)
+    reported = _reported(spark, sf_dir)
     fault = F.expr("CAST(replace(metadata.file_name, '.md', '') AS BIGINT) % 4")
     report = reported.select(
         "id",
@@ -404,7 +412,8 @@ def sample_chunk(spark, sf_dir):
 
 
 def _ranked(spark: SparkSession, sf_dir: str, seed: int = fx.SEED) -> DataFrame:
-    return packing.shuffle_rank(fx.chunks(spark, sf_dir).select("chunk_id"), seed, key="chunk_id")
+    ids_only = durable(fx.chunks(spark, sf_dir).select("chunk_id"), "chunk-ids")
+    return packing.shuffle_rank(ids_only, seed, key="chunk_id")
 
 
 def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
