@@ -16,10 +16,10 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True)
     With ``strict`` the first malformed line fails the job.  Without, malformed lines keep
     their text in ``_corrupt_record``.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
     if strict:
-        return reader.schema(schema).json(path, mode="FAILFAST")
-    return reader.schema(f"{schema}, _corrupt_record STRING").json(path, mode="PERMISSIVE")
+        return spark.read.option("recursiveFileLookup", "true").schema(schema).json(path, mode="FAILFAST")
+    record = F.from_json("value", f"{schema}, _corrupt_record STRING", {"mode": "PERMISSIVE"})
+    return read_lines(spark, path).select(record.alias("_r")).select("_r.*")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

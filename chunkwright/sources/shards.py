@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -9,10 +10,13 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 FORMAT = "named_lines"
+# Tasks get the sink with the job, so executors need no installed copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass

@@ -187,17 +187,16 @@ def request_plan(spark, sf_dir):
     )
 
 
-def _stub_model(messages: list[dict], attempt: int) -> str:
-    """A deterministic stand-in: needs up to four attempts, and fails for some lengths."""
-    n = len(messages[1]["content"])
-    if n % 13 == 0:
-        raise ValueError("no answer")
-    return f"length {n}" if attempt > n % 4 else " "
-
-
 @query
 def completions(spark, sf_dir):
-    return completion.complete(_document_requests(spark, sf_dir), _stub_model)
+    def stub_model(messages: list[dict], attempt: int) -> str:
+        """A deterministic stand-in: needs up to four attempts, and fails for some lengths."""
+        n = len(messages[1]["content"])
+        if n % 13 == 0:
+            raise ValueError("no answer")
+        return f"length {n}" if attempt > n % 4 else " "
+
+    return completion.complete(_document_requests(spark, sf_dir), stub_model)
 
 
 @query
