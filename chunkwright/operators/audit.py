@@ -19,7 +19,7 @@ def audit_lines(lines: DataFrame) -> DataFrame:
     """Add ``parsed``, ``errors``, ``valid`` and the record's ``project``."""
     record = once(lines, {"_record": parse_strict(F.col("value"))})
     errors = F.when(F.col("_record").isNull(), F.array(F.lit("JSON parse error"))).otherwise(
-        variant_errors(RULES["chunk"], F.col("_record"))
+        variant_errors(RULES["chunk"], "_record")
     )
     return once(record, {"errors": errors}).select(
         *lines.columns,

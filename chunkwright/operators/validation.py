@@ -137,9 +137,9 @@ MANIFEST_RULES = Rule(
 RULES = {"chunk": CHUNK_RULES, "item": ITEM_RULES, "report": REPORT_RULES, "manifest": MANIFEST_RULES}
 
 
-def record_errors(kind: str, schema: T.StructType, record: Column | None = None) -> Column:
-    """Error array of a typed record of the given kind."""
-    return typed_errors(RULES[kind], schema, record)
+def record_errors(kind: str, schema: T.StructType) -> Column:
+    """Error array of the row's own columns as a record of the given kind."""
+    return typed_errors(RULES[kind], schema)
 
 
 def record_valid(kind: str, schema: T.StructType) -> Column:
@@ -161,7 +161,7 @@ def validate_json(df: DataFrame, kind: str, line: str = "value") -> DataFrame:
     """Add ``errors`` and ``valid`` for JSON texts; a text that does not parse has one error."""
     parsed = once(df, {"_record": parse_strict(F.col(line))})
     errors = F.when(F.col("_record").isNull(), F.array(F.lit("Invalid JSON"))).otherwise(
-        variant_errors(RULES[kind], F.col("_record"))
+        variant_errors(RULES[kind], "_record")
     )
     return once(parsed, {"errors": errors}).withColumn("valid", F.size("errors") == 0).drop("_record")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chunkwright.operators.chunking import ChunkOptions, chunk_documents, corpus_totals, project_stats
 from chunkwright.operators.validation import require_valid
-from chunkwright.session import configure, spread
+from chunkwright.session import configure, durable, spread
 from chunkwright.sources.jsonl import read_chunks, write_chunks
 from chunkwright.sources.markdown import read_markdown
 
@@ -24,7 +24,8 @@ def chunk_corpus(
     Malformed files are set aside in ``workspace/unreadable`` and do not stop the others.
     """
     configure(spark)
-    documents = spread(read_markdown(spark, input_root, strict=False), "project", "file_path")
+    # The files are read once; from here on columns are read as needed.
+    documents = spread(durable(read_markdown(spark, input_root, strict=False), "documents"), "project", "file_path")
     unreadable = documents.where(F.col("text").isNull()).drop("text")
     unreadable.write.mode("overwrite").json(f"{workspace}/unreadable")
     readable = documents.where(F.col("text").isNotNull())
