@@ -37,26 +37,42 @@ def count_tokens(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Tokenizer:
-    """A named tokenizer: ``encode`` maps a text column to its array of token texts.
+    """A named tokenizer; the token texts must rejoin to the text.
 
-    The token texts must rejoin to the text.  A vocabulary-based tokenizer plugs in
-    as an Arrow-batched ``pandas_udf`` that returns ``ARRAY<STRING>``.
+    ``encode`` maps a text column to its array of token texts, ``encode_pieces`` an array
+    of texts to an array of such arrays.
     """
 
     name: str
     encode: Callable[[Column], Column]
+    encode_pieces: Callable[[Column], Column]
 
 
-LOSSLESS = Tokenizer("lossless", encode)
-_registry: dict[str, Tokenizer] = {LOSSLESS.name: LOSSLESS}
+_registry: dict[str, Tokenizer] = {}
 
 
-def register_tokenizer(name: str, encode_fn: Callable[[Column], Column]) -> Tokenizer:
-    """Make a tokenizer available by name."""
-    _registry[name] = Tokenizer(name, encode_fn)
+def register_tokenizer(
+    name: str,
+    encode: Callable[[Column], Column] | None = None,
+    encode_pieces: Callable[[Column], Column] | None = None,
+) -> Tokenizer:
+    """Make a tokenizer available by name.
+
+    Give ``encode`` if it is built from column functions.  A vocabulary-based tokenizer
+    comes as ``encode_pieces``, an Arrow-batched ``pandas_udf`` from ``array<string>`` to
+    ``array<array<string>>``, because such functions do not run inside a lambda.
+    """
+    if encode is None and encode_pieces is None:
+        raise ValueError("give encode or encode_pieces")
+    pieces = encode_pieces or (lambda texts: F.transform(texts, encode))
+    single = encode or (lambda text: F.get(encode_pieces(F.array(text)), F.lit(0)))
+    _registry[name] = Tokenizer(name, single, pieces)
     return _registry[name]
 
 
+LOSSLESS = register_tokenizer("lossless", encode)
+
+
 def get_tokenizer(name: str | Tokenizer = "lossless") -> Tokenizer:
     """Look a tokenizer up; an unknown name is an error."""
     if isinstance(name, Tokenizer):

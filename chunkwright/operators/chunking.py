@@ -67,113 +67,73 @@ def semantic_breaks(text: Column) -> Column:
     with very many breaks does not copy the whole array once per break.
     """
     lengths = F.transform(break_pieces(text), F.length)
-    inner = F.slice(lengths, 1, F.size(lengths) - 1)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(lengths) / _BLOCK).cast("int")),
-        lambda b: F.slice(inner, b * _BLOCK + 1, _BLOCK),
-    )
 
-    def running(block, at):
-        return F.aggregate(
+    def blocks(all_lengths: Column) -> Column:
+        # The last piece ends at no break.
+        inner = F.slice(all_lengths, 1, F.size(all_lengths) - 1)
+        return F.transform(
+            F.sequence(F.lit(0), F.floor(F.size(all_lengths) / _BLOCK).cast("int")),
+            lambda b: F.slice(inner, b * _BLOCK + 1, _BLOCK),
+        )
+
+    def grow(acc: Column, block: Column) -> Column:
+        inside = F.aggregate(
             block,
-            F.struct(at.alias("at"), empty_array("int").alias("out")),
-            lambda acc, n: F.struct(
-                (acc["at"] + n).alias("at"),
-                F.concat(acc["out"], F.array(acc["at"] + n)).alias("out"),
+            F.struct(acc["at"].alias("at"), empty_array("int").alias("out")),
+            lambda a, n: F.struct(
+                (a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"] + n)).alias("out")
             ),
         )
+        return let(inside, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], r["out"]).alias("out")))
 
     later = F.aggregate(
-        blocks,
+        let(lengths, blocks),
         F.struct(F.lit(0).alias("at"), empty_array("int").alias("out")),
-        lambda acc, block: let(
-            running(block, acc["at"]),
-            lambda r: F.struct(
-                r["at"].alias("at"), F.concat(acc["out"], r["out"]).alias("out")
-            ),
-        ),
+        grow,
         lambda acc: acc["out"],
     )
     return F.concat(F.when(text.rlike(_BREAK_AT_START), F.array(F.lit(0))).otherwise(empty_array("int")), later)
 
 
-def _chunk_ends(pieces: Column, opt: ChunkOptions) -> Column:
-    """Fold over ``ARRAY<STRUCT<tokens, last>>`` pieces to the array of chunk ends.
+def _chunk_ends(opt: ChunkOptions) -> str:
+    """SQL of the fold over ``_pieces``, ``ARRAY<STRUCT<tokens, last>>``, to the chunk ends.
 
-    ``start`` is where the open chunk begins and ``done`` how many tokens are behind
-    us; ``done`` is itself the latest break.  A chunk is decided at the first piece
-    that runs past its target, when the nearest break on either side is known.  A
-    piece may hold many chunk ends; those beyond the first lie at even steps.
+    ``start`` is where the open chunk begins and ``done`` how many tokens are behind us;
+    ``done`` is itself the latest break.  A chunk is decided at the first piece that runs
+    past its target, when the nearest break on either side is known.  A piece may hold
+    many chunk ends; those beyond the first lie at even steps.
     """
     size, overlap, tol = opt.max_tokens, opt.overlap, opt.tolerance
     step = size - overlap
-
-    def first_end(acc, piece, end, target):
-        before = acc["done"] >= target - tol
-        after = ~piece["last"] & (end <= target + tol)
-        chars_before = F.length(F.array_join(F.slice(piece["tokens"], 1, target - acc["done"]), ""))
-        chars_after = F.length(
-            F.array_join(
-                F.slice(piece["tokens"], target - acc["done"] + 1, end - target), ""
-            )
-        )
-        return (
-            F.when(before & after, F.when(chars_before <= chars_after, acc["done"]).otherwise(end))
-            .when(before, acc["done"])
-            .when(after, end)
-            .otherwise(target)
-        )
-
-    def run(piece, end, first):
-        """All chunk ends this piece settles, the first one included."""
-        target = first + step
-        reach = F.when(piece["last"], 0).otherwise(tol)
-        steps = F.greatest(F.ceil((end - reach - target) / step), F.lit(0)).cast("int")
-        even = F.when(
-            steps > 0, F.transform(F.sequence(F.lit(0), steps - 1), lambda i: target + i * step)
-        ).otherwise(empty_array("int"))
-        closing = F.when(
-            ~piece["last"] & (first < end) & (target + steps * step < end), F.array(end)
-        ).otherwise(empty_array("int"))
-        return F.concat(F.array(first), even, closing)
-
-    def advance(acc, piece):
-        end = acc["done"] + F.size(piece["tokens"])
-        target = acc["start"] + size
-        settled = let(
-            F.struct(end.alias("end"), target.alias("target")),
-            lambda v: let(
-                first_end(acc, piece, v["end"], v["target"]),
-                lambda first: run(piece, v["end"], first),
-            ),
-        )
-        return F.when(
-            end > target,
-            let(
-                settled,
-                lambda ends: F.struct(
-                    (F.element_at(ends, -1) - overlap).alias("start"),
-                    end.alias("done"),
-                    F.concat(acc["ends"], ends).alias("ends"),
-                ),
-            ),
-        ).otherwise(
-            F.struct(acc["start"].alias("start"), end.alias("done"), acc["ends"].alias("ends"))
-        )
-
-    def finish(acc):
-        """Whatever follows the last end, up to the end of the text, is the last chunk."""
-        closed = (F.size(acc["ends"]) > 0) & (acc["start"] + overlap == acc["done"])
-        return F.when(closed | (acc["done"] == 0), acc["ends"]).otherwise(
-            F.concat(acc["ends"], F.array(acc["done"]))
-        )
-
-    zero = F.struct(
-        F.lit(0).alias("start"),
-        F.lit(0).alias("done"),
-        empty_array("int").alias("ends"),
-    )
-    return F.aggregate(pieces, zero, advance, finish)
+    none = "cast(array() AS array<int>)"
+    before = f"acc.done >= at.target - {tol}"
+    after = f"NOT p.last AND at.stop <= at.target + {tol}"
+    chars_before = "length(array_join(slice(p.tokens, 1, at.target - acc.done), ''))"
+    chars_after = "length(array_join(slice(p.tokens, at.target - acc.done + 1, at.stop - at.target), ''))"
+    first = f"""CASE
+      WHEN {before} AND {after} THEN CASE WHEN {chars_before} <= {chars_after} THEN acc.done ELSE at.stop END
+      WHEN {before} THEN acc.done
+      WHEN {after} THEN at.stop
+      ELSE at.target END"""
+    # How many more targets this piece passes for good, and whether its own end closes one.
+    passed = f"cast(ceil((at.stop - if(p.last, 0, {tol}) - first - {step}) / {step}) AS int)"
+    rest = f"""concat(
+      if(n > 0, transform(sequence(0, n - 1), i -> first + (i + 1) * {step}), {none}),
+      if(NOT p.last AND first < at.stop AND first + (n + 1) * {step} < at.stop, array(at.stop), {none}))"""
+    settled = f"""transform(array({first}), first ->
+      concat(array(first), transform(array(greatest({passed}, 0)), n -> {rest})[0]))[0]"""
+    return f"""aggregate(
+      _pieces,
+      named_struct('start', 0, 'done', 0, 'ends', {none}),
+      (acc, p) -> transform(
+        array(named_struct('stop', acc.done + size(p.tokens), 'target', acc.start + {size})),
+        at -> CASE
+          WHEN at.stop <= at.target THEN named_struct('start', acc.start, 'done', at.stop, 'ends', acc.ends)
+          ELSE transform(array({settled}), e -> named_struct(
+            'start', element_at(e, -1) - {overlap}, 'done', at.stop, 'ends', concat(acc.ends, e)))[0] END)[0],
+      acc -> CASE
+        WHEN acc.done = 0 OR (size(acc.ends) > 0 AND acc.start + {overlap} = acc.done) THEN acc.ends
+        ELSE concat(acc.ends, array(acc.done)) END)"""
 
 
 def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFrame:
@@ -181,37 +141,25 @@ def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFra
 
     Rows with an empty text give no chunk.
     """
-    encode = get_tokenizer(opt.tokenizer).encode
     keep = [c for c in df.columns if c != text]
     cut = break_pieces(F.col(text)) if opt.semantic_breaks else F.array(F.col(text))
-    pieces = df.select(*keep, cut.alias("_cut")).select(
-        *keep,
-        F.transform(
-            F.col("_cut"),
-            lambda piece, i: F.struct(
-                encode(piece).alias("tokens"), (i == F.size("_cut") - 1).alias("last")
-            ),
-        ).alias("_pieces"),
-    )
-    ends = pieces.select(
-        *keep,
-        F.flatten(F.col("_pieces.tokens")).alias("_tokens"),
-        _chunk_ends(F.col("_pieces"), opt).alias("_ends"),
-    )
-    spans = F.transform(
-        F.col("_ends"),
-        lambda end, i: let(
-            F.when(i == 0, 0).otherwise(F.get(F.col("_ends"), i - 1) - opt.overlap),
-            lambda start: F.struct(
-                start.alias("token_start"),
-                end.alias("token_end"),
-                F.array_join(F.slice("_tokens", start + 1, end - start), "").alias("text"),
-            ),
-        ),
+    tokenized = df.select(*keep, cut.alias("_cut")).select(
+        *keep, get_tokenizer(opt.tokenizer).encode_pieces(F.col("_cut")).alias("_tokenized")
     )
+    last = "transform(_tokenized, (t, i) -> named_struct('tokens', t, 'last', i = size(_tokenized) - 1))"
+    pieces = tokenized.select(*keep, "_tokenized", F.expr(last).alias("_pieces"))
+    ends = pieces.select(*keep, F.flatten("_tokenized").alias("_tokens"), F.expr(_chunk_ends(opt)).alias("_ends"))
+    spans = f"""transform(_ends, (stop, i) -> transform(
+      array(if(i = 0, 0, get(_ends, i - 1) - {opt.overlap})),
+      start -> named_struct('token_start', start, 'token_end', stop,
+        'text', array_join(slice(_tokens, start + 1, stop - start), '')))[0])"""
     # The outer generator gets no inferred size filter, which would run the fold twice.
     return (
-        ends.select(*keep, F.size("_ends").alias("total_chunks"), F.posexplode_outer(spans).alias("chunk_index", "_span"))
+        ends.select(
+            *keep,
+            F.size("_ends").alias("total_chunks"),
+            F.posexplode_outer(F.expr(spans)).alias("chunk_index", "_span"),
+        )
         .where(F.col("_span").isNotNull())
         .select(
             *keep,

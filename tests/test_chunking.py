@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from chunkwright.functions.tokens import TOKEN_PATTERN
+from chunkwright.functions.tokens import TOKEN_PATTERN, register_tokenizer
 from chunkwright.operators.chunking import (
     ChunkOptions,
     chunk_documents,
@@ -156,3 +156,16 @@ def test_same_named_files_get_different_ids(spark):
     docs = documents(spark).withColumn("text", F.lit("same")).withColumn("file_sha1", F.lit("3" * 40))
     made = chunk_documents(docs, ChunkOptions(64, 8, 10), STAMP)
     assert made.select("chunk_id").distinct().count() == 3
+
+
+def test_tokenizer_from_an_arrow_function(spark):
+    @F.pandas_udf("array<array<string>>")
+    def triples(pieces):
+        return pieces.map(lambda ps: [[p[i : i + 3] for i in range(0, len(p), 3)] for p in ps])
+
+    own = register_tokenizer("triples", encode_pieces=triples)
+    text = "abcdefgh\n\n# head\n" + "xyz" * 20
+    rows = chunk_spans(frame(spark, [text, ""]), ChunkOptions(6, 1, 40, tokenizer="triples")).orderBy("chunk_index").collect()
+    assert rows[0].text == "abcdefgh\n\n" and rows[-1].text.endswith("xyz")
+    counted = frame(spark, ["abcd"]).select(F.size(own.encode(F.col("text")))).first()[0]
+    assert counted == 2

@@ -89,6 +89,8 @@ def test_tokens_are_stable_at_line_starts(spark):
 def test_unknown_tokenizer_is_an_error():
     with pytest.raises(ValueError):
         tokens.get_tokenizer("no-such")
+    with pytest.raises(ValueError):
+        tokens.register_tokenizer("nothing")
     own = tokens.register_tokenizer("chars", lambda c: F.split(c, ""))
     assert tokens.get_tokenizer("chars") is own and tokens.get_tokenizer(own) is own
 
