@@ -50,8 +50,9 @@ def running_totals(
     local = valued.select(
         *df.columns, "_bucket", *[F.sum(f"_v_{m}").over(inside).alias(f"_l_{m}") for m in measures]
     )
-    # One row per bucket and lane: the size bound that lets this side be broadcast.
-    placed = local.join(F.broadcast(offsets), [*lanes, "_bucket"])
+    # Without lanes the offsets are at most 65,536 rows, a bound that lets them be broadcast.  With
+    # lanes there is no such bound; the rows already lie by lane and bucket, as the join needs them.
+    placed = local.join(offsets if lanes else F.broadcast(offsets), [*lanes, "_bucket"])
     return placed.select(
         *[local[c] for c in df.columns],
         *[(F.col(f"_b_{m}") + F.col(f"_l_{m}")).alias(m) for m in measures],
