@@ -1,9 +1,13 @@
 import __spark_entry__ as contract
 from chunkwright.schemas import CHECK_NAMES
+from workload import oracles
+from workload.queries import QUERIES
 
 
-def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+def test_every_workload_query_has_an_oracle():
+    assert set(QUERIES) == set(oracles.build())
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
     assert len(CHECK_NAMES) == 12
 
 
