@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwright.llm import bpe, token_files
+from chunkwright.llm import bpe, hilbert, line_dedup, secrets, token_files
+from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,11 +30,30 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op4_hilbert_shards(spark, sf_dir):
+    return hilbert.shard_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_decisions(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_line_dedup"] = line_dedup.ORACLE
+
+
 @query
 def op8_token_files(spark, sf_dir):
     return token_files.token_digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+@query
+def op9_secret_scan(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return secrets.secret_digests(documents, durable(secrets.scan_unseen(documents), "ledger"))
+
+
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
