@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwright.llm import bpe, hilbert, line_dedup, secrets, token_files
+from chunkwright.llm import bpe, hilbert, line_dedup, quality, secrets, token_files, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,11 +30,21 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op3_toxic_passages(spark, sf_dir):
+    return toxicity.toxicity_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_hilbert_shards(spark, sf_dir):
     return hilbert.shard_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality_votes(spark, sf_dir):
+    return quality.quality_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_decisions(table(spark, sf_dir, "documents"))
