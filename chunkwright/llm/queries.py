@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, hilbert, line_dedup, quality, secrets, token_files, toxicity
+from chunkwright.llm import bpe, hilbert, line_dedup, quality, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +31,14 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_ball_tree_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLES["op1_ball_tree_topk"] = topk.ORACLE
+
+
 @query
 def op3_toxic_passages(spark, sf_dir):
     return toxicity.toxicity_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
