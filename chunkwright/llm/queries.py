@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, hilbert, line_dedup, quality, secrets, token_files, topk, toxicity
+from chunkwright.llm import bpe, hilbert, line_dedup, minhash, quality, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,14 @@ def op1_ball_tree_topk(spark, sf_dir):
 ORACLES["op1_ball_tree_topk"] = topk.ORACLE
 
 
+@query
+def op2_bottom_k_dedup(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+ORACLES["op2_bottom_k_dedup"] = minhash.ORACLE
+
+
 @query
 def op3_toxic_passages(spark, sf_dir):
     return toxicity.toxicity_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
