@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, hilbert, line_dedup, minhash, quality, secrets, token_files, topk, toxicity
+from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,11 @@ def op5_quality_votes(spark, sf_dir):
     return quality.quality_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_cgk_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_decisions(table(spark, sf_dir, "documents"))
