@@ -159,8 +159,11 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", into: str
 DIGEST = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def round_trip(documents: DataFrame, vocabulary_path: str) -> DataFrame:
-    """Encode and decode every whole text in one pass; return digests of ids and decoded text."""
+def round_trip(documents: DataFrame, vocabulary_path: str, with_ids: bool = False) -> DataFrame:
+    """Encode and decode every whole text in one pass; return digests of ids and decoded text.
+
+    ``with_ids`` adds the column ``ids``.
+    """
     vocabulary = read_vocabulary(vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,9 +179,14 @@ def round_trip(documents: DataFrame, vocabulary_path: str) -> DataFrame:
                 begin = end
                 hashed.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(hashed, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return keyed_texts(documents).mapInArrow(run, DIGEST)
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "n_tokens": pa.array(counts, pa.int64()),
+                "ids_sha256": pa.array(hashed, pa.string()),
+                "decoded_sha256": pa.array(decoded, pa.string()),
+            }
+            if with_ids:
+                columns["ids"] = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return keyed_texts(documents).mapInArrow(run, DIGEST + (", ids array<int>" if with_ids else ""))
