@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.llm.shared import wide_hash
-from chunkwright.session import durable
+from chunkwright.session import durable, once
 
 WINDOW = 3
 
@@ -26,30 +26,28 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _windows(text: Column, window: int) -> Column:
-    """One struct per window: its first line number, its 128-bit hash, whether it holds any text."""
-    hashed = F.transform(
-        _lines(text), lambda line: F.struct(wide_hash(line).alias("h"), (F.trim(line) != "").alias("full"))
-    )
-    return F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(hashed) - window, F.lit(0))),
-        lambda i: F.struct(
-            i.alias("at"),
-            wide_hash(F.transform(F.slice(hashed, i + 1, window), lambda x: x["h"])).alias("h"),
-            F.exists(F.slice(hashed, i + 1, window), lambda x: x["full"]).alias("full"),
-            (F.size(hashed) >= window).alias("whole"),
-        ),
-    )
-
-
 def window_rows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``doc_id, text_hash, at, h1, h2`` of every window that counts."""
-    rows = documents.where(F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.xxhash64("text").alias("text_hash"),
-        F.explode(_windows(F.col("text"), window)).alias("w"),
+    """``doc_id, text_hash, at, h1, h2`` of every window that counts, written once.
+
+    A line's hash carries in its lowest bit whether the line is blank; a window's 128-bit hash
+    is made of those of its lines.
+    """
+    line_hash = lambda line: F.xxhash64(line).bitwiseAND(F.lit(-2)).bitwiseOR((F.trim(line) == "").cast("bigint"))
+    rows = once(
+        documents.where(F.col("text").isNotNull()).select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text"
+        ),
+        {"hashes": F.transform(_lines(F.col("text")), line_hash)},
     )
-    return rows.where("w.whole AND w.full").select("doc_id", "text_hash", "w.at", "w.h.h1", "w.h.h2")
+    places = [F.slice("hashes", k + 1, F.greatest(F.size("hashes") - (window - 1), F.lit(0))) for k in range(window)]
+    zipped = F.arrays_zip(*[p.alias(f"p{k}") for k, p in enumerate(places)])
+    spread = rows.select("doc_id", "text_hash", F.posexplode(zipped).alias("at", "w"))
+    lines = [F.col("w")[f"p{k}"] for k in range(window)]
+    blank = lines[0]
+    for line in lines[1:]:
+        blank = blank.bitwiseAND(line)
+    counted = spread.where(blank.bitwiseAND(F.lit(1)) == 0)
+    return durable(counted.select("doc_id", "text_hash", "at", wide_hash(*lines).alias("h")).select("doc_id", "text_hash", "at", "h.*"), "line-windows")
 
 
 def later_occurrences(documents: DataFrame, window: int = WINDOW) -> DataFrame:
