@@ -73,10 +73,14 @@ def covered_lines(documents: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def _decide(documents: DataFrame, window: int) -> DataFrame:
-    """All columns, and the kept lines and the number of lines under names of this module."""
+    """All columns, and the kept lines and the number of lines under names of this module.
+
+    The texts meet their covered lines in a sort-merge join whatever the sizes: which documents
+    change is known only there, and their list grows with the corpus.
+    """
     covered = durable(covered_lines(documents, window), "covered-lines").select(
         F.col("doc_id").alias("_ld_id"), F.col("text_hash").alias("_ld_hash"), F.col("starts").alias("_ld_starts")
-    )
+    ).hint("merge")
     joined = documents.withColumn("_ld_lines", _lines(F.col("text"))).join(
         covered,
         F.col("doc_id").cast("bigint").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("text") == F.col("_ld_hash")),
