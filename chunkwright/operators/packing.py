@@ -59,7 +59,7 @@ def _boundaries(ratios: Mapping[str, float], total: Column) -> list[tuple[str, C
 def assign_splits(ranked: DataFrame, ratios: Mapping[str, float] | None = None) -> DataFrame:
     """Add ``split`` and ``rank_in_split``."""
     split, offset = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    bounds = _boundaries(normalize_ratios(ratios or DEFAULT_RATIOS), F.col("total"))
+    bounds = _boundaries(normalize_ratios(DEFAULT_RATIOS if ratios is None else ratios), F.col("total"))
     for name, start, end in reversed(bounds):
         inside = (F.col("rank") >= start) & (F.col("rank") < end)
         split = F.when(inside, F.lit(name)).otherwise(split)
@@ -78,7 +78,7 @@ def assign_shards(placed: DataFrame, shard_size: int = SHARD_SIZE) -> DataFrame:
 def split_counts(placed: DataFrame, ratios: Mapping[str, float] | None = None) -> DataFrame:
     """Items per declared split, empty splits included."""
     spark = placed.sparkSession
-    names = list(ratios or DEFAULT_RATIOS)
+    names = list(DEFAULT_RATIOS if ratios is None else ratios)
     declared = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "position int, split string")
     counts = placed.groupBy("split").agg(F.count("*").alias("num_items"))
     return declared.join(counts, "split", "left").select(

@@ -31,7 +31,7 @@ def pack_dataset(
     """
     configure(spark)
     seed = packing.resolve_seed(seed)
-    ratios = ratios or packing.DEFAULT_RATIOS
+    ratios = packing.DEFAULT_RATIOS if ratios is None else ratios
     items = durable(read_verified(spark, verified).where("valid").select("id", "value"), "items")
     placed = packing.assign_splits(packing.shuffle_rank(items, seed), ratios)
     sharded = packing.assign_shards(placed, shard_size)

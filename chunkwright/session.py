@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -69,13 +68,9 @@ def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates, as named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="chunkwright-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # Unset, as in some local sessions: the warehouse is a folder that all executors share too.
+    root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediates"
+    return root.rstrip("/")
 
 
 def durable(df: DataFrame, name: str) -> DataFrame:
