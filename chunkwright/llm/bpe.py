@@ -127,7 +127,7 @@ class Bpe:
 def encode(documents: DataFrame, vocabulary_path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """Add the array column ``into`` with the ids of the column ``text``."""
     vocabulary = read_vocabulary(vocabulary_path)
-    schema = T.StructType([f for f in documents.schema if f.name != into]).add(into, "array<int>")
+    schema = T.StructType([f for f in documents.schema if f.name != into]).add(into, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Bpe(vocabulary).encoder()
@@ -144,7 +144,7 @@ def encode(documents: DataFrame, vocabulary_path: str, text: str = "text", into:
 def decode(encoded: DataFrame, vocabulary_path: str, ids: str = "ids", into: str = "text") -> DataFrame:
     """Add the column ``into`` with the text of the array column ``ids`` (null: empty)."""
     vocabulary = read_vocabulary(vocabulary_path)
-    schema = T.StructType([f for f in encoded.schema if f.name != into]).add(into, "string")
+    schema = T.StructType([f for f in encoded.schema if f.name != into]).add(into, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(vocabulary)
