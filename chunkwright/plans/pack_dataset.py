@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from chunkwright.operators import packing
 from chunkwright.session import configure, durable
-from chunkwright.sources.jsonl import read_verified
+from chunkwright.sources.jsonl import checked_items, read_lines
 from chunkwright.sources.shards import write_named_lines
 
 
 def pack_dataset(
     spark: SparkSession,
-    verified: str,
+    verified: str | DataFrame,
     output: str,
     run_id: str,
     created_at: str,
@@ -26,13 +26,15 @@ def pack_dataset(
 ) -> DataFrame:
     """Write ``output/shards/*.jsonl`` and the two summary files; return the split table.
 
-    Lines that break the item rules are left out of the dataset, as its rules ask; count
-    them with ``read_verified``.  Without any valid item nothing is written.
+    ``verified`` is a folder of JSON lines, or lines ``(file, value)`` such as the current ones
+    of a workspace.  Lines that break the item rules are left out of the dataset, as its rules
+    ask; count them with ``checked_items``.  Without any valid item nothing is written.
     """
     configure(spark)
     seed = packing.resolve_seed(seed)
     ratios = packing.DEFAULT_RATIOS if ratios is None else ratios
-    items = durable(read_verified(spark, verified).where("valid").select("id", "value"), "items")
+    lines = read_lines(spark, verified) if isinstance(verified, str) else verified
+    items = durable(checked_items(lines).where("valid").select("id", "value"), "items")
     placed = packing.assign_splits(packing.shuffle_rank(items, seed), ratios)
     sharded = packing.assign_shards(placed, shard_size)
     table = packing.split_table(packing.split_counts(placed, ratios), shard_size)

@@ -42,9 +42,9 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, CHUNK_DDL)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """Non-blank lines as ``(file, value)``."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths))
     return lines.select(F.col("_metadata.file_path").alias("file"), "value").where(~is_blank(F.col("value")))
 
 
@@ -78,10 +78,15 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_verified(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of verified items as ``(file, value, id, errors, valid)``.
+    """Lines of verified items below a folder as ``(file, value, id, errors, valid)``."""
+    return checked_items(read_lines(spark, path))
+
+
+def checked_items(lines: DataFrame) -> DataFrame:
+    """Lines ``(file, value)`` with the item's ``id``, its ``errors`` and whether it is ``valid``.
 
     The line itself travels on, so fields the rules leave open are kept as they are.  A bad
     line is flagged and costs no other line of its file.
     """
-    checked = validate_json(read_lines(spark, path), "item")
+    checked = validate_json(lines, "item")
     return checked.select("file", "value", F.get_json_object("value", "$.id").alias("id"), "errors", "valid")

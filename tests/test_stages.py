@@ -13,10 +13,10 @@ from chunkwright.operators.completion import complete
 from chunkwright.operators.packing import split_counts
 from chunkwright.operators.validation import file_errors, file_report, validate_json
 from chunkwright.plans.chunk_corpus import chunk_corpus
-from chunkwright.plans.generate_verify import run_workspace
+from chunkwright.plans.generate_verify import RunOptions, run_workspace
 from chunkwright.plans.pack_dataset import pack_dataset
 from chunkwright.session import durable, once, spread
-from chunkwright.sources import jsonl, markdown
+from chunkwright.sources import jsonl, markdown, runs
 from chunkwright.sources.shards import write_named_lines
 from chunkwright.streaming.verify_stream import verify_stream
 
@@ -101,17 +101,18 @@ def test_three_stages(spark, corpus, tmp_path):
     assert first.total_chunks == len(index) and first.failed_chunks == fail
     assert first.total_generated == 2 * (len(index) - fail)
     assert first.total_verified == sum(i not in (1, 2, 3) for i in index)
-    failed = {r.error_type for r in spark.read.json(f"{work}/failed_chunks").collect()}
+    failed = {json.loads(r.value)["error_type"] for r in runs.current_lines(spark, work, "failed_chunks").collect()}
     assert failed == {"failed", "unreadable"}
     again = run_workspace(spark, work, good_items, None, STAMP, resume=True).first()
     assert again.total_chunks == sum(i in (1, 2, 3) for i in index)
     assert again.total_verified == sum(i == 1 for i in index)
 
-    verified = jsonl.read_verified(spark, f"{work}/verified")
+    current = runs.current_lines(spark, work, "verified")
+    verified = jsonl.checked_items(current)
     assert verified.where("NOT valid").count() == 0
     n = verified.count()
     table = pack_dataset(
-        spark, f"{work}/verified", out, "run_20240101_000000", STAMP, seed=42, ratios={"train": 0.5, "test": 0.5}, shard_size=2
+        spark, current, out, "run_20240101_000000", STAMP, seed=42, ratios={"train": 0.5, "test": 0.5}, shard_size=2
     ).collect()
     assert sum(r.num_items for r in table) == n
     manifest = json.loads(Path(out, "manifest.json").read_text())
@@ -128,6 +129,51 @@ def test_three_stages(spark, corpus, tmp_path):
     assert not [p for p in Path(out).rglob(".*")if p.is_file() and not p.name.endswith(".crc")]
 
 
+def simple_items(messages, attempt):
+    text = "<|begin_of_thought|>t<|end_of_thought|><|begin_of_solution|>a<|end_of_solution|>"
+    return json.dumps([{"problem": messages[0]["content"], "solution": text}])
+
+
+def reject(messages, attempt):
+    return '{"passed": false, "errors": ["wrong"]}'
+
+
+def accept(messages, attempt):
+    return '{"passed": true, "errors": []}' if messages[1]["content"].startswith("judge ") else reject(messages, attempt)
+
+
+def test_runs_replace_each_other(spark, corpus, tmp_path):
+    work = str(tmp_path / "work")
+    chunk_corpus(spark, str(corpus), work, OPTIONS, STAMP)
+    n = jsonl.read_chunks(spark, f"{work}/chunks").count()
+
+    def ids(table):
+        rows = [json.loads(r.value) for r in runs.current_lines(spark, work, table).collect()]
+        return sorted(r.get("item", r)["id"] for r in rows)
+
+    # A resumed run of a fresh workspace runs everything.
+    assert run_workspace(spark, work, simple_items, reject, STAMP, resume=True).first().total_rejected == n
+    made = ids("generations")
+    assert ids("rejected") == made and len(set(made)) == n and ids("verified") == []
+    # A run that ended before its commit row leaves the earlier one in place.
+    stray = Path(work, "verified", "run=2")
+    stray.mkdir()
+    (stray / "part-0.json").write_text('{"id": "stray"}\n')
+    assert ids("verified") == [] and ids("rejected") == made
+    options = RunOptions(
+        generation_system="own prompt", verification_template="judge {{ candidate_json }}", item_system="item prompt",
+        defaults={"subject": "history"}, checks=["has_thought_begin_token"], concurrency=3, parallelism=2,
+    )
+    run_workspace(spark, work, simple_items, accept, STAMP, resume=True, options=options)
+    assert ids("verified") == made and ids("generations") == made and ids("rejected") == []
+    item = json.loads(runs.current_lines(spark, work, "verified").first().value)
+    assert (item["problem"], item["system_prompt"], item["metadata"]["subject"]) == ("own prompt", "item prompt", "history")
+    assert run_workspace(spark, work, simple_items, accept, STAMP, resume=True).first().total_chunks == 0
+    # A fresh run starts over.
+    run_workspace(spark, work, simple_items, reject, STAMP, options=RunOptions(save_rejected=False))
+    assert ids("verified") == ids("rejected") == [] and ids("generations") == made
+
+
 def test_packing_nothing(spark, tmp_path):
     source = tmp_path / "verified"
     source.mkdir()
