@@ -86,6 +86,22 @@ def split_counts(placed: DataFrame, ratios: Mapping[str, float] | None = None) -
     )
 
 
+def split_sizes(items: DataFrame, ratios: Mapping[str, float] | None = None) -> DataFrame:
+    """As ``split_counts``, from one count of the items: their places are not needed for it."""
+    total = F.col("total")
+    bounds = _boundaries(normalize_ratios(DEFAULT_RATIOS if ratios is None else ratios), total)
+    # Ratios that sum to a little over one reach past the last item.
+    sizes = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(name).alias("split"),
+            F.greatest(F.least(end, total) - F.least(start, total), F.lit(0).cast("bigint")).alias("num_items"),
+        )
+        for i, (name, start, end) in enumerate(bounds)
+    ]
+    return items.agg(F.count("*").alias("total")).select(F.inline(F.array(*sizes)))
+
+
 def shard_counts(sharded: DataFrame) -> DataFrame:
     """Items per shard file."""
     return sharded.groupBy("split", "shard", "file").agg(F.count("*").alias("num_items"))

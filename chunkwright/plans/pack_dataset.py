@@ -26,6 +26,9 @@ def pack_dataset(
 ) -> DataFrame:
     """Write ``output/shards/*.jsonl`` and the two summary files; return the split table.
 
+    Files are moved into place when all are written, and shards of an earlier dataset go; a job
+    that fails before leaves the earlier dataset as it was.
+
     ``verified`` is a folder of JSON lines, or lines ``(file, value)`` such as the current ones
     of a workspace.  Lines that break the item rules are left out of the dataset, as its rules
     ask; count them with ``checked_items``.  Without any valid item nothing is written.
@@ -37,7 +40,7 @@ def pack_dataset(
     items = durable(checked_items(lines).where("valid").select("id", "value"), "items")
     placed = packing.assign_splits(packing.shuffle_rank(items, seed), ratios)
     sharded = packing.assign_shards(placed, shard_size)
-    table = packing.split_table(packing.split_counts(placed, ratios), shard_size)
+    table = packing.split_table(packing.split_sizes(items, ratios), shard_size)
     if items.isEmpty():
         return table
     lines = sharded.select(F.concat(F.lit("shards/"), "file").alias("file"), "rank_in_split", "value")
@@ -48,5 +51,5 @@ def pack_dataset(
     for name, row in summaries.items():
         text = row.select(F.lit(name).alias("file"), F.lit(0).alias("rank_in_split"), F.to_json(F.struct("*")).alias("value"))
         lines = lines.unionByName(text)
-    write_named_lines(lines, output, order="rank_in_split")
+    write_named_lines(lines, output, order="rank_in_split", replace=["shards"])
     return table

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -21,7 +23,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: int
+    folder: str
+    names: list[str]
 
 
 def _file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -31,12 +34,13 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
 class NamedLinesWriter(DataSourceArrowWriter):
     """Each task writes whole files: rows of one file stand together in one partition.
 
-    A file is written under a name of its own and then renamed, so a lost or repeated
-    task leaves either no file or the whole one.
+    Each attempt of a task writes into a folder of its own in a staging folder.  When all tasks
+    are done their files are moved into place; when the job fails the staging folder goes.
     """
 
-    def __init__(self, path: str, overwrite: bool):
-        self.path = path
+    def __init__(self, path: str, overwrite: bool, replace: list[str]):
+        self.path, self.replace = path, replace
+        self.staging = f".staged-{uuid.uuid4().hex}"
         target, root = _file_system(path)
         there = target.get_file_info(root).type != fs.FileType.NotFound
         if there and not overwrite and target.get_file_info(fs.FileSelector(root)):
@@ -45,36 +49,47 @@ class NamedLinesWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         target, root = _file_system(self.path)
-        name, temp, out, files = None, None, None, 0
-
-        def close():
-            if out is not None:
-                out.close()
-                target.move(temp, f"{root}/{name}")
-
+        folder, names_written, out = f"{self.staging}/{uuid.uuid4().hex}", [], None
         for batch in iterator:
             names, values = batch.column("file"), batch.column("value")
             runs = pc.run_end_encode(names) if len(names) else None
             start = 0
             for run, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()) if runs else ():
-                if run != name:
-                    close()
-                    name, files = run, files + 1
-                    folder, _, base = f"{root}/{name}".rpartition("/")
-                    target.create_dir(folder, recursive=True)
-                    temp = f"{folder}/.{base}.{uuid.uuid4().hex}"
-                    out = target.open_output_stream(temp)
+                if not names_written or run != names_written[-1]:
+                    if out is not None:
+                        out.close()
+                    names_written.append(run)
+                    path = f"{root}/{folder}/{run}"
+                    target.create_dir(path.rpartition("/")[0], recursive=True)
+                    out = target.open_output_stream(path)
                 lines = values.slice(start, end - start).to_pylist()
                 out.write(("\n".join(lines) + "\n").encode("utf-8"))
                 start = end
-        close()
-        return Written(files)
+        if out is not None:
+            out.close()
+        return Written(folder, names_written)
 
     def commit(self, messages) -> None:
-        pass
+        target, root = _file_system(self.path)
+        staged = {name: m.folder for m in messages if m for name in m.names}
+        for folder in {name.rpartition("/")[0] for name in staged}:
+            target.create_dir(f"{root}/{folder}", recursive=True)
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda name: target.move(f"{root}/{staged[name]}/{name}", f"{root}/{name}"), staged))
+        for folder in self.replace:
+            there = target.get_file_info(fs.FileSelector(f"{root}/{folder}", allow_not_found=True))
+            for file in there:
+                if file.type == fs.FileType.File and f"{folder}/{file.base_name}" not in staged:
+                    target.delete_file(file.path)
+        self._clear()
 
     def abort(self, messages) -> None:
-        pass
+        self._clear()
+
+    def _clear(self) -> None:
+        target, root = _file_system(self.path)
+        if target.get_file_info(f"{root}/{self.staging}").type != fs.FileType.NotFound:
+            target.delete_dir(f"{root}/{self.staging}")
 
 
 class NamedLines(DataSource):
@@ -83,17 +98,20 @@ class NamedLines(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite: bool) -> NamedLinesWriter:
-        return NamedLinesWriter(self.options["path"], overwrite)
+        return NamedLinesWriter(self.options["path"], overwrite, json.loads(self.options.get("replace", "[]")))
 
 
-def write_named_lines(df: DataFrame, path: str, order: str | None = None, overwrite: bool = True) -> None:
+def write_named_lines(
+    df: DataFrame, path: str, order: str | None = None, overwrite: bool = True, replace: Sequence[str] = ()
+) -> None:
     """Write ``(file, value)`` rows; ``order`` names the column that orders the lines of a file.
 
     ``path`` is a folder all executors share: a mounted path or a file system URI.  File names
-    may hold folders.  Existing files of the same names are replaced, others are left alone;
-    without ``overwrite`` the folder must be empty.
+    may hold folders.  Existing files of the same names are replaced, others are left alone
+    but for those in the folders ``replace`` names; without ``overwrite`` the folder must be empty.
     """
     df.sparkSession.dataSource.register(NamedLines)
     placed = df.repartition("file").sortWithinPartitions("file", *([order] if order else []))
     rows = placed.select("file", "value")
-    rows.write.format(FORMAT).mode("overwrite" if overwrite else "append").option("path", path).save()
+    writer = rows.write.format(FORMAT).mode("overwrite" if overwrite else "append")
+    writer.option("path", path).option("replace", json.dumps(list(replace))).save()

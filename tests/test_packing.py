@@ -75,6 +75,8 @@ def test_splits_and_shards(spark, n, ratios, size):
         assert [tuple(s) for s in r.shards] == [
             (f"{r.split}-{i:05d}.jsonl", min(size, k - i * size)) for i in range(r.num_shards)
         ]
+    sizes = packing.split_sizes(ids(spark, n), ratios)
+    assert sizes.orderBy("position").collect() == packing.split_counts(placed, ratios).orderBy("position").collect()
     counted = {r.file: r.num_items for r in packing.shard_counts(packing.assign_shards(placed, size)).collect()}
     assert counted == {s.file: s.num_items for r in table.collect() for s in r.shards}
     made = packing.manifest(table, "run_20240101_000000", 42, "now")
@@ -84,6 +86,14 @@ def test_splits_and_shards(spark, n, ratios, size):
     assert {k: v.num_shards for k, v in info.splits.items()} == {k: math.ceil(len(v) / size) for k, v in want.items()}
 
 
+def test_ratios_a_little_over_one(spark):
+    ratios = {"a": 0.5, "b": 0.51, "c": 0.0}
+    placed = packing.assign_splits(packing.shuffle_rank(ids(spark, 1000), 1), ratios)
+    want = packing.split_counts(placed, ratios).orderBy("position").collect()
+    assert packing.split_sizes(ids(spark, 1000), ratios).orderBy("position").collect() == want
+    assert [r.num_items for r in want] == [500, 500, 0]
+
+
 def test_bad_settings():
     for ratios in ({}, {"a": 0.0}, {"a": -1.0, "b": 2.0}):
         with pytest.raises(ValueError):

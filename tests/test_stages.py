@@ -183,6 +183,33 @@ def test_packing_nothing(spark, tmp_path):
     assert not (tmp_path / "out").exists()
 
 
+def test_a_second_pack_replaces_the_first(spark, tmp_path):
+    item = {
+        "system_prompt": "s", "problem": "q", "solution": "a", "created_at": STAMP,
+        "metadata": {
+            "source": "s", "difficulty": "d", "subject": "s", "tags": ["t"], "project": "p", "file_path": "f", "file_name": "f",
+            "chunk_index": 0, "chunk_id": "sha256:" + "0" * 64,
+        },
+        "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}],
+    }
+    lines = [json.dumps({"id": f"{i:08x}-0000-4000-8000-000000000000", **item}) for i in range(30)]
+    df = spark.createDataFrame([("f", line) for line in lines], "file string, value string")
+    out = tmp_path / "out"
+
+    def pack(size):
+        pack_dataset(spark, df, str(out), "run_20240101_000000", STAMP, seed=1, shard_size=size, ratios={"train": 1.0})
+        return {p.name: len(p.read_text().splitlines()) for p in (out / "shards").iterdir()}
+
+    assert pack(5) == {f"train-{i:05d}.jsonl": 5 for i in range(6)}
+    assert pack(1000) == {"train-00000.jsonl": 30}
+    # A job that fails leaves what was there.
+    broken = df.select(F.lit("shards/train-00000.jsonl").alias("file"), F.raise_error("broken").cast("string").alias("value"))
+    with pytest.raises(Exception):
+        write_named_lines(broken, str(out), replace=["shards"])
+    assert len((out / "shards" / "train-00000.jsonl").read_text().splitlines()) == 30
+    assert not [p for p in out.iterdir() if p.name.startswith(".staged")]
+
+
 def test_lines_and_files(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -420,8 +420,7 @@ def _sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_table(spark: SparkSession, sf_dir: str, ratios=THREE) -> DataFrame:
-    placed = packing.assign_splits(_ranked(spark, sf_dir), ratios)
-    return packing.split_table(packing.split_counts(placed, ratios), 50)
+    return packing.split_table(packing.split_sizes(fx.chunks(spark, sf_dir), ratios), 50)
 
 
 @query
@@ -441,7 +440,7 @@ def split_assign_unscaled(spark, sf_dir):
 
 @query
 def split_counts(spark, sf_dir):
-    return packing.split_counts(packing.assign_splits(_ranked(spark, sf_dir))).select("split", "num_items")
+    return packing.split_sizes(fx.chunks(spark, sf_dir)).select("split", "num_items")
 
 
 @query
