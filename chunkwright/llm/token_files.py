@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from chunkwright.llm.mph import PerfectHash
 from chunkwright.llm.pretokens import PieceEncoder, read_vocabulary, special_tokens, vocabulary_size
-from chunkwright.llm.shared import keyed_texts
+from chunkwright.llm.shared import keyed_texts, text_parts
 from chunkwright.session import checkpoint_root
 
 MAGIC = 0x3130_5844_494B_4F54
@@ -38,6 +38,8 @@ END_ID = 2
 RECORD = np.dtype([("fingerprint", "<u4"), ("count", "<u4"), ("first", "<u8")])
 # Bytes of text per shard: bounds the memory of a task and sets the number of shards.
 SHARD_BYTES = 32 << 20
+# Bytes of text encoded at a time: the arrays of a step take many times as much.
+STEP_BYTES = 2 << 20
 NULL_KEY = 1 << 40  # added to the copy number of documents without a key
 
 
@@ -152,9 +154,7 @@ def write_token_files(documents: DataFrame, vocabulary_path: str, root: str, sha
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, encoder, writer = TaskContext.get().partitionId(), None, None
         last, copy = object(), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in text_parts(whole, "text", STEP_BYTES)):
             if writer is None:
                 encoder = library_encoder(vocabulary)
                 writer = ShardWriter(root, shard, width)

@@ -8,6 +8,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -16,6 +17,7 @@ from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, qu
 from chunkwright.llm.components import components
 from chunkwright.llm.mph import PerfectHash
 from chunkwright.llm.queries import ORACLES, QUERIES
+from chunkwright.llm.shared import text_parts
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -234,6 +236,15 @@ def test_perfect_hash():
         PerfectHash.build(np.array([1, 1]), np.array([0, 0]))
 
 
+def test_text_parts():
+    texts = ["ab", None, "", "é" * 9, "c", "defg", "h"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    parts = [p.column("text").to_pylist() for p in text_parts(batch.slice(0), "text", 5)]
+    assert parts == [["ab", None, ""], ["é" * 9], ["c", "defg"], ["h"]]
+    assert [p.num_rows for p in text_parts(batch.slice(4), "text", 5)] == [2, 1]
+    assert list(text_parts(batch.slice(0, 0), "text", 5)) == []
+
+
 def test_token_files_and_round_trip(spark, odd, empty, tmp_path):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     rows = sorted(((r.doc_id, r.text or "") for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
