@@ -314,6 +314,10 @@ def build() -> dict[str, str]:
     out["chunk_readiness"] = f"""{AUDITED} SELECT count(DISTINCT file) AS total_files, count(*) FILTER (WHERE parsed) AS total_chunks,
       count(*) FILTER (WHERE valid) AS valid_chunks, count(*) FILTER (WHERE NOT valid) AS invalid_chunks, bool_and(valid) AS ready FROM audited"""
     out["first_errors"] = f"""{AUDITED} SELECT file, line, {_FAULT_MESSAGE} AS error FROM audited WHERE NOT valid ORDER BY file, line LIMIT 10"""
+    out["file_report"] = f"""{AUDITED} SELECT file, count(*) FILTER (WHERE valid) AS valid, count(*) FILTER (WHERE NOT valid) AS invalid
+      FROM audited GROUP BY file"""
+    wrong = _FAULT_MESSAGE.replace("JSON parse error", "Invalid JSON")
+    out["file_errors"] = f"""{AUDITED} SELECT file, line, concat('Line ', CAST(line AS VARCHAR), ': ', {wrong}) AS error FROM audited WHERE NOT valid"""
     out["sample_chunk"] = f"{CHUNKS} SELECT {shape} FROM chunks ORDER BY project, file_path, chunk_index LIMIT 1"
     out["shuffle_rank"] = f"{ranked(fx.SEED, THREE, 50)} SELECT chunk_id, rank, total FROM ranks"
     out["split_assign"] = f"{ranked(fx.SEED, THREE, 50)} SELECT chunk_id, split, rank_in_split FROM splits"

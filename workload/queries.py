@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chunkwright.functions import ids, jsonfix, tokens
 from chunkwright.operators import audit, checks, chunking, completion, outcomes, packing, prompts, replies, requests
-from chunkwright.operators.validation import validate, validate_json
+from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
 from chunkwright.session import durable
 from workload import fixtures as fx
 
@@ -402,6 +402,16 @@ def first_errors(spark, sf_dir):
     return audit.first_errors(_audited(spark, sf_dir))
 
 
+@query
+def file_report(spark, sf_dir):
+    return report_of_files(fx.chunk_lines(spark, sf_dir), "chunk")
+
+
+@query
+def file_errors(spark, sf_dir):
+    return errors_of_lines(fx.chunk_lines(spark, sf_dir), "chunk")
+
+
 @query
 def sample_chunk(spark, sf_dir):
     return audit.sample_chunk(fx.chunks(spark, sf_dir)).select(*CHUNK_SHAPE)
