@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chunkwright.functions.ids import chunk_id
 from chunkwright.functions.text import BLANK, empty_array, let
-from chunkwright.functions.tokens import Tokenizer, get_tokenizer
+from chunkwright.functions.tokens import LOSSLESS, Tokenizer, get_tokenizer
 
 # A line that starts here is a heading, or is blank, or has a rule line below it.
 _BREAK_LINE = (
@@ -139,13 +139,20 @@ def _chunk_ends(opt: ChunkOptions) -> str:
 def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFrame:
     """One row per chunk: the input columns but the text, plus index, offsets and chunk text.
 
-    Rows with an empty text give no chunk.
+    Rows with an empty text give no chunk.  A tokenizer whose tokens do not rejoin fails the job.
     """
     keep = [c for c in df.columns if c != text]
     cut = break_pieces(F.col(text)) if opt.semantic_breaks else F.array(F.col(text))
+    tokenizer = get_tokenizer(opt.tokenizer)
     tokenized = df.select(*keep, cut.alias("_cut")).select(
-        *keep, get_tokenizer(opt.tokenizer).encode_pieces(F.col("_cut")).alias("_tokenized")
+        *keep, "_cut", tokenizer.encode_pieces(F.col("_cut")).alias("_tokenized")
     )
+    if tokenizer is not LOSSLESS:
+        # Chunk texts are made of token texts, so tokens that do not rejoin would lose text.
+        rejoined = F.transform("_tokenized", lambda t: F.array_join(t, ""))
+        why = F.raise_error(F.lit(f"tokens of {tokenizer.name} do not rejoin to the text"))
+        checked = F.when(F.col("_cut").isNull() | rejoined.eqNullSafe(F.col("_cut")), F.col("_tokenized")).otherwise(why)
+        tokenized = tokenized.withColumn("_tokenized", checked)
     last = "transform(_tokenized, (t, i) -> named_struct('tokens', t, 'last', i = size(_tokenized) - 1))"
     pieces = tokenized.select(*keep, "_tokenized", F.expr(last).alias("_pieces"))
     ends = pieces.select(*keep, F.flatten("_tokenized").alias("_tokens"), F.expr(_chunk_ends(opt)).alias("_ends"))

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from chunkwright.functions.tokens import TOKEN_PATTERN, register_tokenizer
+from chunkwright.functions.tokens import TOKEN_PATTERN, Tokenizer, register_tokenizer
 from chunkwright.operators.chunking import (
     ChunkOptions,
     chunk_documents,
@@ -169,3 +169,10 @@ def test_tokenizer_from_an_arrow_function(spark):
     assert rows[0].text == "abcdefgh\n\n" and rows[-1].text.endswith("xyz")
     counted = frame(spark, ["abcd"]).select(F.size(own.encode(F.col("text")))).first()[0]
     assert counted == 2
+
+
+def test_lossy_tokenizer_is_refused(spark):
+    words = Tokenizer("words-only", lambda t: F.split(t, " "), lambda texts: F.transform(texts, lambda t: F.split(t, " ")))
+    made = chunk_spans(spark.createDataFrame([("k", "one two, three")], "key string, text string"), ChunkOptions(tokenizer=words))
+    with pytest.raises(Exception, match="do not rejoin"):
+        made.collect()
