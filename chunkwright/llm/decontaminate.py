@@ -9,10 +9,13 @@ insertions, deletions and substitutions alike.
 2. At the starts left, the window is embedded by a random walk that copies the word it stands on
    and steps on or stays by a random bit of that word and step, so that few edits differ in few
    places.  A key samples ``SAMPLED`` places; windows and items that share a key under any of the
-   repetitions are candidates.  The number of repetitions follows from the collision rate of items
-   edited to the full budget, for a recall of ``RECALL``.
+   repetitions are candidates.  The number of repetitions is the least that finds the share
+   ``RECALL`` of simulated items edited to the full budget, for the worst kind of edits.
 3. Candidates are verified by the exact edit distance, with a free end of the window.
 
+From the length on whose items need more than ``MAX_REPETITIONS`` (some 30 words), nothing is
+embedded: every start left by the triples of the item itself is verified, so none is missed.
+
 Items of fewer than ``MIN_WORDS`` words, empty and null items are no benchmark passages and match
 nothing; repeated items count once per id.  Items are taken in blocks of at most ``ITEM_BLOCK``,
 which bounds what goes with a job.  Null and empty documents match nothing.  Other columns are
@@ -21,10 +24,10 @@ ignored by ``matches`` and kept by ``drop_contaminated``.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.llm.mph import mix
-from chunkwright.llm.shared import keyed_texts
+from chunkwright.llm.shared import keyed_texts, ragged
 
 EDIT_SHARE = 0.2
 MIN_WORDS = 8
@@ -86,11 +89,74 @@ def edit_distance(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int,
     return min(row[end], most + 1), end
 
 
-def _triples(ids: np.ndarray) -> np.ndarray:
-    x = ids.astype(np.uint64)
+def least_edits(item: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Per start in ``text``, the least edits that turn ``item`` into words from there on.
+
+    Both are read backwards, so that one table serves all starts.
+    """
+    backwards, at = text[::-1], np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, word in enumerate(item[::-1].tolist(), 1):
+        fresh = row + 1
+        fresh[1:] = np.minimum(fresh[1:], row[:-1] + (backwards != word))
+        fresh[0] = i
+        row = np.minimum.accumulate(fresh - at) + at
+    return row[:0:-1]
+
+
+def _codes(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    a, b, c = (x.astype(np.uint64) for x in (a, b, c))
     with np.errstate(over="ignore"):
-        code = mix(x[:-2] * _U(0x9E3779B97F4A7C15) + x[1:-1] * _U(0xC2B2AE3D27D4EB4F) + x[2:] * _U(0x165667B19E3779F9))
-    return (code & _U(_MASK)).astype(np.int64)
+        return mix(a * _U(0x9E3779B97F4A7C15) + b * _U(0xC2B2AE3D27D4EB4F) + c * _U(0x165667B19E3779F9))
+
+
+def _triples(ids: np.ndarray) -> np.ndarray:
+    return _codes(ids[:-2], ids[1:-1], ids[2:])
+
+
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (codes & _U(_MASK)).astype(np.int64)
+
+
+def _edited(length: int, kind: int | None, rng: np.random.Generator) -> list[int]:
+    """Words ``1 .. length`` with all the edits allowed, of one kind or (``None``) of all three."""
+    copy = list(range(1, length + 1))
+    for _ in range(budget(length)):
+        i = int(rng.integers(len(copy)))
+        match rng.integers(3) if kind is None else kind:
+            case 0:
+                copy[i] = 0
+            case 1:
+                copy.insert(i, 0)
+            case _:
+                del copy[i]
+    return copy
+
+
+@lru_cache(maxsize=1024)
+def repetitions(length: int, steps: int) -> int | None:
+    """Repetitions that find ``RECALL`` of the items of this length with all their edits, if few enough.
+
+    An item is found with chance ``1 - (1 - r) ** repetitions``, its own ``r`` being the mean over walks.
+    """
+    rng, trials, walks = np.random.default_rng(1), 64, 32
+    kinds = [0, 1, 2, None]
+    copies = np.full((len(kinds) * trials + 1, length + budget(length) + 1), length + 1)
+    texts = [_edited(length, kind, rng) for kind in kinds for _ in range(trials)]
+    for row, text in zip(copies, [*texts, range(1, length + 1)]):
+        row[: len(text)] = text
+    at = np.zeros((walks, len(copies)), np.int64)
+    equal = np.zeros((walks, len(texts)))
+    last, which, walk = copies.shape[1] - 1, np.arange(len(copies)), np.arange(walks)[:, None]
+    for _ in range(steps):
+        symbols = copies[which, np.minimum(at, last)]
+        equal += symbols[:, :-1] == symbols[:, -1:]
+        at += rng.integers(0, 2, (walks, length + 2))[walk, symbols]
+    rates = ((equal / steps) ** SAMPLED).mean(0).reshape(len(kinds), trials)
+    for number in range(2, MAX_REPETITIONS + 1):
+        if (1 - (1 - rates) ** number).mean(1).min() >= RECALL:
+            return number
+    return None
 
 
 class Walks:
@@ -133,7 +199,7 @@ class Benchmark:
                 self.items.append((item_id, np.array(ids, np.int32)))
         self.known = np.zeros(_MASK + 1, bool)
         for _, ids in self.items:
-            self.known[_triples(ids)] = True
+            self.known[_slots(_triples(ids))] = True
         # Items of like length share windows: the longest is at most a fifth longer.
         self.classes: list[list[int]] = []
         for i in sorted(range(len(self.items)), key=lambda i: len(self.items[i][1])):
@@ -141,6 +207,7 @@ class Benchmark:
             if not self.classes or n > 1.2 * len(self.items[self.classes[-1][0]][1]):
                 self.classes.append([])
             self.classes[-1].append(i)
+        self.exact = False
         self.searches = [self._search(members) for members in self.classes]
 
     def _search(self, members: list[int]):
@@ -148,7 +215,13 @@ class Benchmark:
         span = max(n + budget(n) for n in lengths) - 2
         need = min(n - 2 - 3 * budget(n) for n in lengths)
         shortest = lengths[0]
-        walks = Walks(shortest, self._repetitions(shortest), len(self.vocabulary))
+        # Walks over all of a class are as long as its shortest item asks; its densest edits count.
+        number = None if self.exact else repetitions(max(lengths, key=lambda n: budget(n) / n), 2 * shortest)
+        if number is None:
+            # Longer items need more repetitions still.
+            self.exact = True
+            return span, need, None, ItemTriples([(i, self.items[i][1]) for i in members])
+        walks = Walks(shortest, number, len(self.vocabulary))
         texts = np.concatenate([self.items[i][1] for i in members])
         ends = np.cumsum(lengths)
         keys = walks.keys(texts, ends - lengths, ends)
@@ -156,35 +229,45 @@ class Benchmark:
         for row in keys:
             order = np.argsort(row, kind="stable")
             tables.append((row[order], np.array(members)[order]))
-        return span, need, max(lengths), walks, tables
-
-    def _repetitions(self, length: int) -> int:
-        """Repetitions that reach ``RECALL`` for a text of this length with all its edits."""
-        rng, most, trials = np.random.default_rng(1), budget(length), 64
-        rates = []
-        for _ in range(trials):
-            item = rng.permutation(length).astype(np.int32) + 1
-            copy = item.tolist()
-            for _ in range(most):
-                kind, i = rng.integers(3), int(rng.integers(len(copy)))
-                if kind == 0:
-                    copy[i] = 0
-                elif kind == 1:
-                    copy.insert(i, 0)
-                else:
-                    del copy[i]
-            bits = rng.integers(0, 2, (2 * length, length + 2))
-            walked = []
-            for text in (item.tolist(), copy):
-                out, at = [], 0
-                for step in range(2 * length):
-                    symbol = text[at] if at < len(text) else length + 1
-                    out.append(symbol)
-                    at += bits[step, symbol]
-                walked.append(np.array(out))
-            rates.append((walked[0] == walked[1]).mean() ** SAMPLED)
-        rate = min(max(float(np.mean(rates)), 1e-3), 0.999)
-        return max(2, min(MAX_REPETITIONS, math.ceil(math.log(1 - RECALL) / math.log(1 - rate))))
+        return span, need, walks, tables
+
+
+class ItemTriples:
+    """Which items hold which triples: finds every window within the budget, none is left to chance."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]]):
+        self.items = items
+        self.own = [np.unique(_triples(ids)) for _, ids in items]
+        codes, members = np.concatenate(self.own), np.repeat(np.arange(len(items)), [len(o) for o in self.own])
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.members = codes[order], members[order]
+        self.need = np.array([len(ids) - 2 - 3 * budget(len(ids)) for _, ids in items])
+
+    def best_windows(self, text: np.ndarray, places: np.ndarray, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """``(item, edits, first word, end word)`` of the items found in a text with these triples."""
+        distinct, times = np.unique(codes, return_counts=True)
+        left = np.searchsorted(self.codes, distinct, "left")
+        holders = np.searchsorted(self.codes, distinct, "right") - left
+        shared = np.bincount(self.members[ragged(left, holders)], np.repeat(times, holders), len(self.items))
+        for member in np.flatnonzero(shared >= self.need).tolist():
+            item, ids = self.items[member]
+            own, most, need = self.own[member], budget(len(ids)), int(self.need[member])
+            found = places[own[np.minimum(np.searchsorted(own, codes), len(own) - 1)] == codes]
+            firsts, lasts = found[: len(found) - need + 1], found[need - 1 :]
+            close = lasts - firsts < len(ids) + most - 2
+            # A start may precede its first triple by the triples that edits spoil.
+            low, high = np.maximum(0, lasts[close] - (len(ids) + most - 2) + 1), firsts[close]
+            if not len(low):
+                continue
+            best = (most + 1, 0)
+            # Starts that overlap are verified together; both bounds ascend.
+            cuts = np.flatnonzero(low[1:] > high[:-1]) + 1
+            for a, b in zip(low[np.r_[0, cuts]].tolist(), high[np.r_[cuts, len(high)] - 1].tolist()):
+                edits = least_edits(ids, text[a : b + len(ids) + most])[: b - a + 1]
+                best = min(best, (int(edits.min()), a + int(edits.argmin())))
+            edits, first = best
+            if edits <= most:
+                yield item, edits, first, first + edit_distance(ids, text[first : first + len(ids) + most], most)[1]
 
 
 class Finder:
@@ -221,17 +304,13 @@ class Finder:
         known = (flat[:-2] > 0) & (flat[1:-1] > 0) & (flat[2:] > 0)
         places = np.flatnonzero(known)
         if len(places):
-            triple = np.stack([flat[places], flat[places + 1], flat[places + 2]])
-            with np.errstate(over="ignore"):
-                x = triple.astype(np.uint64)
-                code = mix(x[0] * _U(0x9E3779B97F4A7C15) + x[1] * _U(0xC2B2AE3D27D4EB4F) + x[2] * _U(0x165667B19E3779F9))
-            hit = self.benchmark.known[(code & _U(_MASK)).astype(np.int64)]
-            places = places[hit]
-            places = places[places + 2 < owner_end[places]]
+            codes = _codes(flat[places], flat[places + 1], flat[places + 2])
+            hit = self.benchmark.known[_slots(codes)] & (places + 2 < owner_end[places])
+            places, codes = places[hit], codes[hit]
         if not len(places):
             return
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for span, need, longest, walks, tables in self.benchmark.searches:
+        for span, need, walks, tables in self.benchmark.searches:
             # `need` known triples in a row of starts end within `span` of the first.
             if len(places) < need:
                 continue
@@ -241,6 +320,13 @@ class Finder:
             firsts, lasts = firsts[same], lasts[same]
             if not len(firsts):
                 continue
+            if walks is None:
+                for row in np.unique(owner[firsts]).tolist():
+                    begin, end = int(ends[row] - lengths[row]), int(ends[row])
+                    a, b = np.searchsorted(places, [begin, end]).tolist()
+                    for item, *window in tables.best_windows(flat[begin:end], places[a:b] - begin, codes[a:b]):
+                        best[(row, item)] = (window[0], window[1], window[2])
+                continue
             # A start may precede its first known triple by the triples that edits spoil.
             begin_of = ends[owner[firsts]] - lengths[owner[firsts]]
             low = np.maximum(begin_of, lasts - span + 1)

@@ -218,6 +218,24 @@ def test_edit_distance_and_recall():
     assert len({(row, item) for row, item, *_ in finder(copies) if row == item}) >= 0.9 * len(items)
 
 
+def test_long_items_edited_to_the_full_budget_are_found():
+    rng = np.random.default_rng(6)
+    items = [(i, rng.integers(0, 5000, 300).tolist()) for i in range(40)]
+    copies, texts = [], [(i, " ".join(f"t{w}" for w in words)) for i, words in items]
+    for _, words in items:
+        copy = [f"t{w}" for w in words]
+        for kind in rng.integers(0, 3, decontaminate.budget(300)).tolist():
+            at = int(rng.integers(len(copy)))
+            copy[at : at + (kind != 1)] = ["new"] * (kind != 2)
+        copies.append(" ".join(["host"] * 20 + copy + ["host"] * 20))
+    finder = decontaminate.Finder(decontaminate.Benchmark(texts))
+    found = {row: edits for row, item, _, _, edits in finder(copies) if row == item}
+    assert set(found) == set(range(40)) and max(found.values()) <= 60
+    item, text = rng.integers(0, 3, 12), rng.integers(0, 3, 40)
+    apart = [decontaminate.edit_distance(item, text[i:], 12)[0] for i in range(40)]
+    assert decontaminate.least_edits(item, text).tolist() == apart
+
+
 def test_line_removal(spark, odd, empty):
     got = {r.doc_id: (r.n_removed, r.kept_text) for r in line_dedup.line_decisions(odd.where("doc_id is not null")).collect()}
     assert got[7] == (0, "x\ny\nz\nw") and got[8] == (3, "q") and got[9] == (0, "\n\n\n\n") and got[3] == (0, None)
