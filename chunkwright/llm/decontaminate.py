@@ -1,6 +1,7 @@
 """Benchmark decontamination by edit distance between items and windows of documents.
 
-Texts are sequences of words, lower-cased and stripped of punctuation.  A document is contaminated
+Texts are sequences of words, lower-cased and stripped of punctuation; in scripts written without
+blanks (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan) every character is a word.  A document is contaminated
 by an item when some window of it is within the item's edit budget: ``EDIT_SHARE`` of its words,
 insertions, deletions and substitutions alike.
 
@@ -16,8 +17,8 @@ insertions, deletions and substitutions alike.
 From the length on whose items need more than ``MAX_REPETITIONS`` (some 30 words), nothing is
 embedded: every start left by the triples of the item itself is verified, so none is missed.
 
-Items of fewer than ``MIN_WORDS`` words, empty and null items are no benchmark passages and match
-nothing; repeated items count once per id.  Items are taken in blocks of at most ``ITEM_BLOCK``,
+Items of fewer than ``MIN_WORDS`` words have no edit budget: each is found where exactly its words
+stand in a row.  Items without words, empty and null items match nothing; repeated items count once per id.  Items are taken in blocks of at most ``ITEM_BLOCK``,
 which bounds what goes with a job.  Null and empty documents match nothing.  Other columns are
 ignored by ``matches`` and kept by ``drop_contaminated``.
 """
@@ -44,21 +45,33 @@ RECALL = 0.97
 ITEM_BLOCK = 20_000
 MAX_REPETITIONS = 64
 REMEMBERED = 600_000
+UNSPLIT = -2  # stands for a word that holds several
 _MASK = (1 << 22) - 1
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_UNSPACED = re.compile(
+    "([\u0e01-\u0e4e\u0e81-\u0edf\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3031-\u3035"
+    "\u3040-\u30fa\u30fc-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f"
+    "\U0001b000-\U0001b16f\U00020000-\U0003ffff])"
+)
 _U = np.uint64
 
 
 def normal(word: str) -> str:
-    return _EDGE.sub("", word.lower())
+    # Vowel and tone signs are characters of their own, no edge to strip.
+    return word if _UNSPACED.fullmatch(word) else _EDGE.sub("", word.lower())
+
+
+def split_words(text: str) -> list[str]:
+    """Words between blanks, and the single characters of scripts without blanks."""
+    return _UNSPACED.sub(r" \1 ", text).split()
 
 
 def words_of(text: str) -> list[str]:
-    return [w for w in map(normal, text.split()) if w]
+    return [w for w in map(normal, split_words(text)) if w]
 
 
 def budget(n: int) -> int:
-    """Edits allowed; at least one triple must survive them."""
+    """Edits allowed for ``MIN_WORDS`` words and more; at least one triple must survive them."""
     return max(0, min(int(EDIT_SHARE * n), (n - 3) // 3))
 
 
@@ -114,6 +127,15 @@ def _triples(ids: np.ndarray) -> np.ndarray:
     return _codes(ids[:-2], ids[1:-1], ids[2:])
 
 
+def _runs(ids: np.ndarray, n: int) -> np.ndarray:
+    """One code per ``n`` words in a row."""
+    codes = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    for k in range(n):
+        with np.errstate(over="ignore"):
+            codes = mix(codes * _U(31) + ids[k : k + len(codes)].astype(np.uint64) + _U(1))
+    return codes
+
+
 def _slots(codes: np.ndarray) -> np.ndarray:
     return (codes & _U(_MASK)).astype(np.int64)
 
@@ -194,15 +216,23 @@ class Benchmark:
         self.items: list[tuple[object, np.ndarray]] = []
         for item_id, text in items:
             words = words_of(text or "")
-            if len(words) >= MIN_WORDS:
+            if words:
                 ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
                 self.items.append((item_id, np.array(ids, np.int32)))
         self.known = np.zeros(_MASK + 1, bool)
-        for _, ids in self.items:
-            self.known[_slots(_triples(ids))] = True
+        # Items too short for edits by their length, in the order of their codes.
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in sorted({len(ids) for _, ids in self.items if len(ids) < MIN_WORDS}):
+            members = np.array([i for i, (_, ids) in enumerate(self.items) if len(ids) == n])
+            codes = np.concatenate([_runs(self.items[i][1], n) for i in members])
+            order = np.argsort(codes, kind="stable")
+            self.short[n] = codes[order], members[order]
+        long = [i for i, (_, ids) in enumerate(self.items) if len(ids) >= MIN_WORDS]
+        for i in long:
+            self.known[_slots(_triples(self.items[i][1]))] = True
         # Items of like length share windows: the longest is at most a fifth longer.
         self.classes: list[list[int]] = []
-        for i in sorted(range(len(self.items)), key=lambda i: len(self.items[i][1])):
+        for i in sorted(long, key=lambda i: len(self.items[i][1])):
             n = len(self.items[i][1])
             if not self.classes or n > 1.2 * len(self.items[self.classes[-1][0]][1]):
                 self.classes.append([])
@@ -279,6 +309,8 @@ class Finder:
 
         class Ids(dict):
             def __missing__(self, word: str) -> int:
+                if len(word) > 1 and not word.isascii() and _UNSPACED.search(word):
+                    return UNSPLIT
                 plain = normal(word)
                 number = self[word] = vocabulary.get(plain, 0) if plain else -1
                 return number
@@ -295,6 +327,9 @@ class Finder:
         for text in texts:
             words = text.split()
             ids = np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words))
+            if (ids == UNSPLIT).any():
+                words = split_words(text)
+                ids = np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words))
             rows.append(ids[ids >= 0])
         lengths = np.array([len(r) for r in rows], np.int64)
         flat = np.concatenate([*rows, np.zeros(4, np.int32)])
@@ -303,13 +338,21 @@ class Finder:
         owner = np.repeat(np.arange(len(rows)), lengths)
         known = (flat[:-2] > 0) & (flat[1:-1] > 0) & (flat[2:] > 0)
         places = np.flatnonzero(known)
-        if len(places):
-            codes = _codes(flat[places], flat[places + 1], flat[places + 2])
-            hit = self.benchmark.known[_slots(codes)] & (places + 2 < owner_end[places])
-            places, codes = places[hit], codes[hit]
-        if not len(places):
-            return
+        codes = _codes(flat[places], flat[places + 1], flat[places + 2])
+        hit = self.benchmark.known[_slots(codes)] & (places + 2 < owner_end[places])
+        places, codes = places[hit], codes[hit]
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for n, (table, members) in self.benchmark.short.items():
+            runs = _runs(flat[: len(owner)], n)
+            left = np.searchsorted(table, runs, "left")
+            found = np.flatnonzero((table[np.minimum(left, len(table) - 1)] == runs) & (np.arange(len(runs)) + n <= owner_end[: len(runs)]))
+            # The first place of each in every document.
+            _, first = np.unique(owner[found] * len(table) + left[found], return_index=True)
+            for at in found[first].tolist():
+                row = int(owner[at])
+                start = at - int(ends[row] - lengths[row])
+                for item in members[left[at] : np.searchsorted(table, runs[at], "right")].tolist():
+                    best[(row, item)] = (0, start, start + n)
         for span, need, walks, tables in self.benchmark.searches:
             # `need` known triples in a row of starts end within `span` of the first.
             if len(places) < need:

@@ -236,6 +236,20 @@ def test_long_items_edited_to_the_full_budget_are_found():
     assert decontaminate.least_edits(item, text).tolist() == apart
 
 
+def test_short_items_and_scripts_without_blanks():
+    han = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少"
+    thai = "สวัสดีตอนเช้าวันนี้อากาศดีมาก"
+    items = [(1, "Too short!"), (2, "too short"), (3, "seven words are not enough for edits"), (4, han), (5, thai), (6, "..."), (7, "鸟夜")]
+    texts = [
+        "it is TOO, short.", "too long short", "so seven words are not enough for edits", "seven words are not quite enough for edits", "too",
+        f"他说：{han[:10]}，{han[10:]}。", "说" + han[:4] + "早" + han[5:], "春眠", f"ว่า{thai}", "short too", "",
+    ]
+    found = list(decontaminate.Finder(decontaminate.Benchmark(items))(texts))
+    want = {(0, 1, 0), (0, 2, 0), (2, 3, 0), (5, 4, 0), (6, 4, 1), (8, 5, 0), (6, 7, 0), (5, 7, 0)}
+    assert {(row, item, edits) for row, item, _, _, edits in found} == want
+    assert [f[2:4] for f in found if f[:2] == (0, 1)] == [(2, 4)] and [f[2:4] for f in found if f[:2] == (5, 4)] == [(2, 22)]
+
+
 def test_line_removal(spark, odd, empty):
     got = {r.doc_id: (r.n_removed, r.kept_text) for r in line_dedup.line_decisions(odd.where("doc_id is not null")).collect()}
     assert got[7] == (0, "x\ny\nz\nw") and got[8] == (3, "q") and got[9] == (0, "\n\n\n\n") and got[3] == (0, None)
