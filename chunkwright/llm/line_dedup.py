@@ -6,8 +6,8 @@ later occurrences.  A line goes if a later occurrence covers it; overlapping occ
 
 Lines end at ``\\n`` and compare exactly.  Windows of blank lines only do not count.  Texts of
 fewer than three lines, empty and null texts stay as they are.  Rows that share a ``doc_id``
-are told apart by a hash of their text; equal rows are equal copies of which the smaller number
-stays.  Null ``doc_id`` sorts first.  All other columns are ignored by ``line_decisions`` and
+are told apart by a hash of their text; of equal rows one, whichever it is, stands before the
+others, which so hold nothing but later occurrences.  Null ``doc_id`` sorts first.  All other columns are ignored by ``line_decisions`` and
 kept by ``remove_repeated_lines``.
 """
 
@@ -50,11 +50,12 @@ def window_rows(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     return durable(counted.select("doc_id", "text_hash", "at", wide_hash(*lines).alias("h")).select("doc_id", "text_hash", "at", "h.*"), "line-windows")
 
 
-def later_occurrences(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Window starts of later occurrences: ``doc_id, text_hash, at`` (equal rows more than once).
+def occurrences(documents: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Window starts of repeated windows: ``doc_id, text_hash, at``, and whether the first occurrence is there.
 
-    Counting and finding the first occurrence combine before the shuffle, so a window that a
-    third of all documents share is one row per task; the join back carries narrow rows.
+    Equal rows come more than once.  Counting and finding the first occurrence combine before the
+    shuffle, so a window that a third of all documents share is one row per task; the join back
+    carries narrow rows.
     """
     rows = window_rows(documents, window)
     place = F.struct("doc_id", "text_hash", "at")
@@ -63,13 +64,35 @@ def later_occurrences(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     # Only occurrences of repeated windows are worth keeping, and only they are joined back.
     found = rows.join(repeated.drop("n"), ["h1", "h2"])
-    return found.where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at")
+    return found.select("doc_id", "text_hash", "at", place.eqNullSafe(F.col("first")).alias("is_first"))
 
 
 def covered_lines(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document with later occurrences, the sorted first lines of those windows."""
-    later = later_occurrences(documents, window)
-    return later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("starts"))
+    """Per document with later occurrences, the sorted first lines of those windows.
+
+    ``starts`` are those of the document, or of one of several equal rows; ``others``, null where
+    no rows are equal, are those of the rest, in which every repeated window is a later occurrence.
+    """
+    found = occurrences(documents, window).groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set("at").alias("all"), F.collect_set(F.when(F.col("is_first"), F.col("at"))).alias("firsts")
+    )
+    later = F.array_sort(F.array_except("all", "firsts"))
+    # Every equal row brings each of its windows once.
+    return found.select(
+        "doc_id", "text_hash", F.when(F.size(later) > 0, later).alias("starts"),
+        F.when(F.col("n") > F.size("all"), F.array_sort("all")).alias("others"),
+    ).where("starts IS NOT NULL OR others IS NOT NULL")
+
+
+def _tell_apart(joined: DataFrame) -> DataFrame:
+    """The rows, of which all equal ones but one have the starts of the others."""
+    equal = joined.where("_ld_others IS NOT NULL").withColumn("_ld_row", F.monotonically_increasing_id())
+    equal = durable(equal, "equal-rows")
+    first = equal.groupBy("_ld_id", "_ld_hash").agg(F.min("_ld_row").alias("_ld_row"))
+    told = equal.join(first.select("_ld_row", F.lit(True).alias("_ld_first")), "_ld_row", "left").withColumn(
+        "_ld_starts", F.when(F.col("_ld_first"), F.col("_ld_starts")).otherwise(F.col("_ld_others"))
+    )
+    return joined.where("_ld_others IS NULL").unionByName(told.select(*joined.columns))
 
 
 def _decide(documents: DataFrame, window: int) -> DataFrame:
@@ -79,13 +102,16 @@ def _decide(documents: DataFrame, window: int) -> DataFrame:
     change is known only there, and their list grows with the corpus.
     """
     covered = durable(covered_lines(documents, window), "covered-lines").select(
-        F.col("doc_id").alias("_ld_id"), F.col("text_hash").alias("_ld_hash"), F.col("starts").alias("_ld_starts")
-    ).hint("merge")
+        F.col("doc_id").alias("_ld_id"), F.col("text_hash").alias("_ld_hash"),
+        F.col("starts").alias("_ld_starts"), F.col("others").alias("_ld_others"),
+    )
     joined = documents.withColumn("_ld_lines", _lines(F.col("text"))).join(
-        covered,
+        covered.hint("merge"),
         F.col("doc_id").cast("bigint").eqNullSafe(F.col("_ld_id")) & (F.xxhash64("text") == F.col("_ld_hash")),
         "left",
     )
+    if not covered.where("_ld_others IS NOT NULL").isEmpty():
+        joined = _tell_apart(joined)
     gone = F.array_distinct(
         F.flatten(F.transform("_ld_starts", lambda at: F.sequence(at, at + F.lit(window - 1))))
     )

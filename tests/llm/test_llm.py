@@ -260,6 +260,34 @@ def test_line_removal(spark, odd, empty):
     assert line_dedup.line_decisions(empty).count() == 0
 
 
+def test_equal_rows_keep_one(spark):
+    rng = np.random.default_rng(8)
+    texts = [(None, "x\ny\nz"), (0, "m\nn\no"), (3, "m\nn\no"), (1, "a\nb\nc\nd"), (2, "q\na\nb\nc")]
+    texts += [(i, "\n".join(rng.choice(list("abcde "), rng.integers(1, 30)))) for i in range(10, 40)]
+    rows = [row for i, row in enumerate(texts) for _ in range(1 + (i == 0 or i % 3) if i % 4 else 3)]
+    seen, want = set(), []
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = text.split("\n")
+        windows, gone = [tuple(lines[i : i + 3]) for i in range(len(lines) - 2)], set()
+        for at, w in enumerate(windows):
+            if any(line.strip(" ") for line in w):
+                gone |= {at, at + 1, at + 2} if w in seen else set()
+                seen.add(w)
+        want.append((doc_id, len(lines), len(gone), "\n".join(line for i, line in enumerate(lines) if i not in gone)))
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = sorted(map(tuple, line_dedup.line_decisions(documents).collect()), key=repr)
+    assert got == sorted(want, key=repr)
+    assert line_dedup.remove_repeated_lines(documents).count() == sum(n > r for _, n, r, _ in want)
+    near = LONG + " and one"
+    rows = [(1, LONG)] * 3 + [(2, near)] * 2 + [(4, "only four words here")] + [(None, "five words of no one")] * 2
+    rows += [(5, "shared id of rows " * 9 + "a"), (5, "shared id of rows " * 9 + "a b"), (6, ""), (6, ""), (None, None)]
+    documents = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, n int").repartition(4)
+    kept = minhash.keep_one(documents)
+    assert kept.columns == documents.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([1, 4, None, 5, 6, 6, None], key=repr)
+    assert minhash.near_duplicates(documents).where("kept").count() == 7
+
+
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 1 << 60, 5000)
     index = PerfectHash.build(keys, np.zeros(5000, np.int64))
