@@ -352,3 +352,77 @@ def test_pipeline(spark):
         before, docs = docs, stage(spark, docs, SF).cache()
         assert docs.columns == columns and 0 < docs.count() <= before.count(), name
     assert corpus_pipeline.encode(spark, docs, SF).count() == docs.count()
+
+
+def plain_line_removal(rows):
+    """Rows by id without the lines that later occurrences of three-line windows cover."""
+    seen, kept = set(), []
+    for doc_id, text in sorted(rows):
+        lines, gone = text.split("\n"), set()
+        for at in range(len(lines) - 2):
+            window = tuple(lines[at : at + 3])
+            if any(line.strip(" ") for line in window):
+                gone |= {at, at + 1, at + 2} if window in seen else set()
+                seen.add(window)
+        if len(gone) < len(lines):
+            kept.append((doc_id, "\n".join(line for i, line in enumerate(lines) if i not in gone)))
+    return kept
+
+
+def plainly_contains(text, item):
+    """Whether a window of the text is within the item's edit budget, by the full table of distances."""
+    item, text = item.split(), text.split()
+    most = int(0.2 * len(item)) if len(item) >= 8 else 0
+    row = [0] * (len(text) + 1)
+    for i, word in enumerate(item, 1):
+        fresh = [i]
+        for j, other in enumerate(text, 1):
+            fresh.append(min(row[j - 1] + (word != other), row[j] + 1, fresh[j - 1] + 1))
+        row = fresh
+    return min(row) <= most
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(12)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(300)]
+    vile = ["vilexu", "hatrowq", "scornuz", "wretzy", "quzzvex", "zyxwort"]
+    some = lambda n: rng.choice(vocabulary, n).tolist()
+    lines = lambda words, width: "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+    long_item, short_item, shared = some(40), some(4), [some(9) for _ in range(4)]
+    texts, toxic = {}, set()
+    for i in range(140):
+        words = some(72)
+        if i % 5 == 1:
+            toxic.add(i)
+            words[20:20] = rng.choice(vile, 30).tolist()
+        elif i % 14 == 3:  # near copies of one another, in lines of other widths
+            words = texts[i - 3].split()
+            words[7] = "other"
+            toxic |= {i} if i - 3 in toxic else set()
+        elif i in (22, 30):
+            copy = long_item.copy()
+            copy[5:7], copy[30] = ["new"], "other"
+            words[10:10] = copy
+        elif i == 40:
+            words[33:33] = short_item
+        texts[i] = lines(words, 6 + i % 7)
+        if i % 10 == 4 and i not in toxic:
+            texts[i] += "\n" + "\n".join(map(" ".join, shared)) + "\nlast line of number " + str(i)
+    documents = [(i, t, "en", "s", len(t)) for i, t in texts.items()]
+    spark.createDataFrame(documents, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in texts if i < 110], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [" ".join(long_item), " ".join(short_item)]
+    spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    clean = [(i, t) for i, t in texts.items() if i not in toxic]
+    whole = plain_line_removal(clean)
+    one = {c for _, _, c in plain_groups(whole)}
+    apart = [(i, t) for i, t in whole if i in one]
+    kept = [(i, t) for i, t in apart if not any(plainly_contains(t, item) for item in items)]
+    # Each stage has work to do.
+    assert toxic and sum(len(t) for _, t in whole) < sum(len(t) for _, t in clean) and len(apart) < len(whole) and len(kept) == len(apart) - 3
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    want = {(i, tuple(tokenizer.encode(t, add_special_tokens=False).ids)) for i, t in kept}
+    assert {(r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == want
