@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, secrets, token_files, topk, toxicity
+from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, runs, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,8 @@ def op9_secret_scan(spark, sf_dir):
 @query
 def op10_bpe(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query
+def op11_grammar_runs(spark, sf_dir):
+    return runs.run_digests(table(spark, sf_dir, "documents"))
