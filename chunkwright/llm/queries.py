@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, runs, secrets, token_files, topk, toxicity
+from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, repeats, runs, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,11 @@ def op10_bpe(spark, sf_dir):
 @query
 def op11_grammar_runs(spark, sf_dir):
     return runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_winnowed_repeats(spark, sf_dir):
+    return repeats.passage_digests(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_winnowed_repeats"] = repeats.ORACLE
