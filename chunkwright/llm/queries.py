@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.llm import bpe, decontaminate, hilbert, line_dedup, minhash, quality, repeats, runs, secrets, token_files, topk, toxicity
+from chunkwright.llm import alignment, bpe, decontaminate, hilbert, line_dedup, minhash, quality, repeats, runs, secrets, token_files, topk, toxicity
 from chunkwright.session import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The public piece model that is aligned with the byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query
 def op1_ball_tree_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
@@ -102,3 +109,8 @@ def op12_winnowed_repeats(spark, sf_dir):
 
 
 ORACLES["op12_winnowed_repeats"] = repeats.ORACLE
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    return alignment.alignment_digests(table(spark, sf_dir, "documents"), vocabulary_path(), piece_model_path())
