@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from chunkwright.functions.vocabulary import VocabularyTokenizer, vocabulary_tokenizer
+
 # Fixed value: the token pattern, read alike by Java and RE2.
 TOKEN_PATTERN = r"\n|[ \t\r\f]*[^ \t\r\f\n]+|[ \t\r\f]+"
 
@@ -73,10 +75,15 @@ def register_tokenizer(
 LOSSLESS = register_tokenizer("lossless", encode)
 
 
-def get_tokenizer(name: str | Tokenizer = "lossless") -> Tokenizer:
-    """Look a tokenizer up; an unknown name is an error."""
-    if isinstance(name, Tokenizer):
+def get_tokenizer(name: str | Tokenizer | VocabularyTokenizer = "lossless") -> Tokenizer | VocabularyTokenizer:
+    """Look a tokenizer up; an unknown name is an error.
+
+    ``vocabulary:file=<path>`` is the byte-level vocabulary of a file.
+    """
+    if isinstance(name, Tokenizer | VocabularyTokenizer):
         return name
+    if name.startswith("vocabulary:"):
+        return vocabulary_tokenizer(name)
     if name not in _registry:
         raise ValueError(f"unknown tokenizer {name!r}; known: {sorted(_registry)}")
     return _registry[name]

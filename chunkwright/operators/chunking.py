@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from chunkwright.functions.ids import chunk_id
 from chunkwright.functions.text import BLANK, empty_array, let
 from chunkwright.functions.tokens import LOSSLESS, Tokenizer, get_tokenizer
+from chunkwright.functions.vocabulary import VocabularyTokenizer
 
 # A line that starts here is a heading, or is blank, or has a rule line below it.
 _BREAK_LINE = (
@@ -39,7 +40,7 @@ class ChunkOptions:
     overlap: int = 128
     tolerance_pct: float = 10
     semantic_breaks: bool = True
-    tokenizer: str | Tokenizer = "lossless"
+    tokenizer: str | Tokenizer | VocabularyTokenizer = "lossless"
 
     @property
     def tolerance(self) -> int:
@@ -142,8 +143,10 @@ def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFra
     Rows with an empty text give no chunk.  A tokenizer whose tokens do not rejoin fails the job.
     """
     keep = [c for c in df.columns if c != text]
-    cut = break_pieces(F.col(text)) if opt.semantic_breaks else F.array(F.col(text))
     tokenizer = get_tokenizer(opt.tokenizer)
+    if isinstance(tokenizer, VocabularyTokenizer):
+        return _vocabulary_spans(df, opt, tokenizer, text)
+    cut = break_pieces(F.col(text)) if opt.semantic_breaks else F.array(F.col(text))
     tokenized = df.select(*keep, cut.alias("_cut")).select(
         *keep, "_cut", tokenizer.encode_pieces(F.col("_cut")).alias("_tokenized")
     )
@@ -179,6 +182,17 @@ def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFra
     )
 
 
+def _vocabulary_spans(df: DataFrame, opt: ChunkOptions, tokenizer: VocabularyTokenizer, text: str) -> DataFrame:
+    """The rows of ``chunk_spans`` for tokens that may reach across breaks.
+
+    Breaks are found by column functions; tokens, and the ends they allow, in one pass of Arrow batches.
+    """
+    keep = [c for c in df.columns if c != text]
+    breaks = semantic_breaks(F.col(text)) if opt.semantic_breaks else empty_array("int")
+    marked = df.select(*keep, F.col(text).alias("_text"), breaks.alias("_breaks"))
+    return tokenizer.chunk_rows(marked, "_text", "_breaks", opt.max_tokens, opt.overlap, opt.tolerance)
+
+
 def chunk_documents(
     documents: DataFrame,
     options: ChunkOptions | None = None,

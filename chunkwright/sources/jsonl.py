@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chunkwright.functions.jsonfix import parse_strict
 from chunkwright.functions.text import is_blank
 from chunkwright.schemas import CHUNK_DDL
 from chunkwright.operators.validation import validate_json
@@ -13,13 +14,18 @@ from chunkwright.operators.validation import validate_json
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """Typed rows of JSON lines; blank lines are skipped.
 
-    With ``strict`` the first malformed line fails the job.  Without, malformed lines keep
-    their text in ``_corrupt_record``.
+    A line is malformed if it is not one JSON value of this schema; Spark's own reader overlooks what
+    follows the value.  With ``strict`` the first malformed line fails the job.  Without, malformed lines
+    keep their text in ``_corrupt_record``.
     """
+    lines, whole = read_lines(spark, path), parse_strict(F.col("value")).isNotNull()
     if strict:
-        return spark.read.option("recursiveFileLookup", "true").schema(schema).json(path, mode="FAILFAST")
+        record = F.from_json("value", schema, {"mode": "FAILFAST"})
+        why = F.raise_error(F.concat(F.lit("malformed line in "), "file"))
+        return lines.select(F.when(whole, record).otherwise(why).alias("_r")).select("_r.*")
     record = F.from_json("value", f"{schema}, _corrupt_record STRING", {"mode": "PERMISSIVE"})
-    return read_lines(spark, path).select(record.alias("_r")).select("_r.*")
+    marked = record.withField("_corrupt_record", F.coalesce(record["_corrupt_record"], F.when(~whole, F.col("value"))))
+    return lines.select(marked.alias("_r")).select("_r.*")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:

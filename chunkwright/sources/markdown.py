@@ -2,46 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.functions.ids import sha1_hash
 from chunkwright.functions.text import universal_newlines
-
-
-def _root(root: str) -> str:
-    return root.rstrip("/") if "://" in root or root.startswith("file:") else os.path.abspath(root)
-
-
-def _one_slash(url: Column) -> Column:
-    return F.regexp_replace(url, "^([a-z0-9]+):/+", "$1:/")
+from chunkwright.sources.listing import list_files, read_files
 
 
 def find_files(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
-    """Files below ``root`` as ``(path, length, content, relpath)``; sort by path where order matters."""
-    plain = re.sub(r"^[a-z0-9]+:(//[^/]*(?=/))?", "", _root(root)).strip("/")
-    base = re.escape(plain).replace("/", "/+")
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(_root(root))
-    )
-    # Spark plans no task for an empty file.  The file index has listed it all the same, so
-    # the names it knows, less those it scans, are the empty ones.
-    known = spark.createDataFrame([(url,) for url in files.inputFiles()], "url string")
-    scanned = files.select(_one_slash(F.col("_metadata.file_path")).alias("key"))
-    empty = known.withColumn("key", _one_slash(F.col("url"))).join(scanned, "key", "left_anti").select(
-        F.url_decode(F.replace("url", F.lit("+"), F.lit("%2B"))).alias("path"),
-        F.lit(0).cast("bigint").alias("length"),
-        F.lit(b"").alias("content"),
-    )
-    found = files.select("path", "length", "content").unionByName(empty)
-    relpath = F.regexp_extract("path", rf"^(?:[a-z0-9]+:(?://[^/]*)?)?/*{base}/+(.*)$", 1)
-    return found.withColumn("relpath", relpath)
+    """Files at any depth below ``root`` as ``(path, length, content, relpath)``; sort by path where order matters."""
+    files = read_files(list_files(spark, root, pattern).select("relpath", "length"), root)
+    return files.select(F.concat(F.lit(root.rstrip("/") + "/"), "relpath").alias("path"), "length", "content", "relpath")
 
 
 def read_markdown(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
@@ -68,10 +40,10 @@ def read_markdown(spark: SparkSession, root: str, strict: bool = True) -> DataFr
 
 
 def discover_projects(spark: SparkSession, root: str) -> DataFrame:
-    """Sorted names of the folders directly below ``root`` that hold markdown at any depth."""
+    """Sorted names of the folders directly below ``root`` that hold markdown at any depth; no file is opened."""
     project = F.regexp_extract("relpath", "^([^/]+)/", 1)
     return (
-        find_files(spark, root)
+        list_files(spark, root, "*.md")
         .select(project.alias("project"))
         .where((F.col("project") != "") & ~F.col("project").startswith("."))
         .distinct()

@@ -7,6 +7,8 @@ the two engines read differently.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ from chunkwright.operators.prompts import (
     THOUGHT_BEGIN,
     THOUGHT_END,
 )
-from chunkwright.session import configure, durable, once, spread
+from chunkwright.session import checkpoint_root, configure, durable, once, spread
+from chunkwright.sources.shards import write_named_lines
 
 STAMP = "2024-01-01T00:00:00Z"
 RUN_ID = "run_20240101_000000"
@@ -255,3 +258,24 @@ def chunk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(record)
         .alias("value"),
     )
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share."""
+    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def markdown_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as markdown files, each text with a newline at its end; one in thirteen is no markdown."""
+    folder = shared_folder(spark, "markdown")
+    name = F.when(F.col("doc_id") % 13 == 0, F.concat("file_path", F.lit(".txt"))).otherwise(F.col("file_path"))
+    files = documents(spark, sf_dir).select(F.concat("project", F.lit("/"), name).alias("file"), F.col("text").alias("value"))
+    write_named_lines(files, folder)
+    return folder
+
+
+def lines_folder(lines: DataFrame, name: str) -> str:
+    """Rows ``(file, line, value)`` as the lines of files."""
+    folder = shared_folder(lines.sparkSession, name)
+    write_named_lines(lines, folder, order="line")
+    return folder

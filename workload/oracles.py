@@ -210,6 +210,17 @@ def build() -> dict[str, str]:
     """Oracle per query name."""
     shape = "chunk_id, project, file_path, file_name, chunk_index, total_chunks, token_start, token_end, text, file_sha1"
     out: dict[str, str] = {}
+    markdown = f"{MD}, files AS (SELECT *, concat(text, chr(10)) AS content FROM md WHERE doc_id % 13 <> 0)"
+    out["discovered_projects"] = f"WITH {markdown} SELECT DISTINCT project FROM files"
+    out["found_files"] = f"""WITH {markdown} SELECT concat(project, '/', file_path) AS relpath, CAST(strlen(content) AS BIGINT) AS length,
+      CAST(strlen(content) AS BIGINT) AS read FROM files"""
+    out["markdown_documents"] = f"""WITH {markdown} SELECT project, file_path, file_name, concat('sha256:', sha256(content)) AS text_hash,
+      sha1(content) AS file_sha1 FROM files"""
+    out["chunk_files"] = f"{CHUNKS} SELECT {shape} FROM chunks"
+    out["chunk_lines_read"] = f"""{CHUNKS}, l AS (SELECT token_end, doc_id % 9 = 4 OR (doc_id % 9 = 1 AND chunk_index = 0) AS malformed FROM chunks)
+      SELECT malformed, count(*) AS lines, CAST(sum(token_end) AS BIGINT) AS token_ends FROM l GROUP BY malformed"""
+    out["line_counts"] = f"{CHUNKS} SELECT doc_id, count(*) AS lines FROM chunks GROUP BY doc_id"
+    out["named_files"] = f"""{ranked(fx.SEED, THREE, 50)} SELECT file, CAST(rank_in_split - 50 * shard + 1 AS BIGINT) AS line, chunk_id FROM named"""
     out["ids_hashes"] = f"""WITH {MD}, h AS (SELECT *, sha1(text) AS s FROM md)
       SELECT doc_id, concat('sha256:', sha256(text)) AS text_hash, s AS file_sha1,
       concat('sha256:', sha256(concat(project, '|', file_path, '|0|', s))) AS chunk_id,
@@ -306,6 +317,9 @@ def build() -> dict[str, str]:
       WHEN 3 THEN 'messages.1.role: not one of system, user, assistant' WHEN 4 THEN 'metadata.tags.1: shorter than 1'
       WHEN 5 THEN 'messages: fewer than 2 items' WHEN 6 THEN 'root: solution is a required property' ELSE '' END AS errors,
       conv_id % 8 IN (0, 7) AS valid FROM pairs"""
+    out["collected_items"] = f"""WITH {_PAIRS}, judged AS ({out["item_validation"].removeprefix(f"WITH {_PAIRS} ")})
+      SELECT errors, valid, count(*) AS items, count(DISTINCT CASE WHEN conv_id % 8 = 1 THEN 'no-uuid' ELSE id END) AS ids
+      FROM judged JOIN pairs USING (conv_id, turn) GROUP BY errors, valid"""
     out["conversation_items"] = f"WITH {_PAIRS} SELECT conv_id, turn, id, problem, solution FROM pairs"
     out["chunk_audit_by_file"] = f"""{AUDITED} SELECT file, count(*) FILTER (WHERE parsed) AS total, count(*) FILTER (WHERE valid) AS valid,
       count(*) FILTER (WHERE NOT valid) AS invalid FROM audited GROUP BY file"""

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from chunkwright.functions import ids, jsonfix, tokens
 from chunkwright.operators import audit, checks, chunking, completion, outcomes, packing, prompts, replies, requests
 from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
+from chunkwright.schemas import CHUNK_DDL
 from chunkwright.session import durable
+from chunkwright.sources import jsonl, markdown
+from chunkwright.sources.shards import write_named_lines
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +36,70 @@ def _joined(column: str = "errors", by: str = ",") -> Column:
     return F.array_join(column, by).alias("errors")
 
 
+# --- sources and sinks -----------------------------------------------------------
+
+
+@query
+def discovered_projects(spark, sf_dir):
+    return markdown.discover_projects(spark, fx.markdown_folder(spark, sf_dir))
+
+
+@query
+def found_files(spark, sf_dir):
+    found = markdown.find_files(spark, fx.markdown_folder(spark, sf_dir))
+    return found.select("relpath", "length", F.length("content").cast("bigint").alias("read"))
+
+
+@query
+def markdown_documents(spark, sf_dir):
+    read = markdown.read_markdown(spark, fx.markdown_folder(spark, sf_dir))
+    return read.select("project", "file_path", "file_name", ids.sha256_hash(F.col("text")).alias("text_hash"), "file_sha1")
+
+
+@query
+def chunk_files(spark, sf_dir):
+    folder = fx.shared_folder(spark, "chunk-files")
+    jsonl.write_chunks(fx.chunks(spark, sf_dir), folder)
+    return jsonl.read_chunks(spark, folder).select(*CHUNK_SHAPE)
+
+
+@query
+def chunk_lines_read(spark, sf_dir):
+    """Lines of a folder read one by one: typed fields, and whether the line is malformed."""
+    folder = fx.lines_folder(fx.chunk_lines(spark, sf_dir), "chunk-lines")
+    read = jsonl.read_jsonl(spark, folder, CHUNK_DDL, strict=False)
+    return read.groupBy(F.col("_corrupt_record").isNotNull().alias("malformed")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("token_end").alias("token_ends")
+    )
+
+
+@query
+def line_counts(spark, sf_dir):
+    folder = fx.lines_folder(fx.chunk_lines(spark, sf_dir), "chunk-lines")
+    counted = jsonl.count_lines(spark, folder)
+    return counted.select(F.regexp_extract("file", "([^/]+)[.]md[.]chunks[.]jsonl$", 1).cast("bigint").alias("doc_id"), "lines")
+
+
+@query
+def collected_items(spark, sf_dir):
+    """Item lines of a folder, checked; a bad line costs no other."""
+    items = fx.conversation_items(spark, sf_dir, faults=True)
+    record = F.to_json(F.struct(*[c for c in items.columns if c not in ("conv_id", "turn")]))
+    lines = items.select(F.concat(F.lit("run/"), F.col("conv_id") % 16, F.lit(".jsonl")).alias("file"), F.struct("conv_id", "turn").alias("line"), record.alias("value"))
+    read = jsonl.read_verified(spark, fx.lines_folder(lines, "items"))
+    return read.groupBy(_joined(by="; "), "valid").agg(F.count(F.lit(1)).alias("items"), F.countDistinct("id").alias("ids"))
+
+
+@query
+def named_files(spark, sf_dir):
+    """Shards written under their exact names and read back with line numbers."""
+    folder = fx.shared_folder(spark, "shards")
+    lines = _sharded(spark, sf_dir).select(F.concat(F.lit("shards/"), "file").alias("file"), "rank_in_split", F.col("chunk_id").alias("value"))
+    write_named_lines(lines, folder, order="rank_in_split")
+    read = jsonl.numbered_lines(spark, folder)
+    return read.select(F.regexp_extract("file", "([^/]+)$", 1).alias("file"), "line", F.col("value").alias("chunk_id"))
+
+
 # --- identifiers and tokens ------------------------------------------------------
 
 
@@ -60,6 +127,30 @@ def token_counts(spark, sf_dir):
     return fx.raw_documents(spark, sf_dir).select("doc_id", tokens.count_tokens(F.col("text")).alias("tokens"))
 
 
+def _vocabulary() -> str:
+    """The name of a public byte-level vocabulary as tokenizer."""
+    import public_tokenizers
+
+    return f"vocabulary:file={public_tokenizers.path('byte_bpe_50k.json')}"
+
+
+@query
+def vocabulary_tokens(spark, sf_dir):
+    """Numbers of vocabulary tokens, whether they decode to their text, and their ends in characters as a digest."""
+    tokenizer = tokens.get_tokenizer(_vocabulary())
+    docs = fx.documents(spark, sf_dir).select("doc_id", "text", tokenizer.encode(F.col("text")).alias("ids"), tokenizer.token_ends(F.col("text")).alias("ends"))
+    return docs.select(
+        "doc_id", F.size("ids").alias("tokens"), (tokenizer.decode(F.col("ids")) == F.col("text")).alias("same"),
+        F.sha2(F.array_join(F.col("ends").cast("array<string>"), ","), 256).alias("ends_sha256"),
+    )
+
+
+@query
+def chunks_of_vocabulary_tokens(spark, sf_dir):
+    options = chunking.ChunkOptions(max_tokens=256, overlap=32, tolerance_pct=10, tokenizer=_vocabulary())
+    return fx.chunks(spark, sf_dir, options).select(*CHUNK_SHAPE)
+
+
 @query
 def token_roundtrip(spark, sf_dir):
     docs = fx.documents(spark, sf_dir).select("doc_id", "text", tokens.encode(F.col("text")).alias("tk"))
