@@ -18,12 +18,12 @@ from chunkwright.functions.tokens import LOSSLESS, Tokenizer, get_tokenizer
 from chunkwright.functions.vocabulary import VocabularyTokenizer
 
 # A line that starts here is a heading, or is blank, or has a rule line below it.
-_BREAK_LINE = (
+BREAK_LINE = (
     rf"{BLANK}*+#"
     rf"|{BLANK}*+(?:\n|\z)"
     rf"|[^\n]*+\n{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z)"
 )
-_BREAK_SPLIT = rf"(?<=\n)(?={_BREAK_LINE})"
+_BREAK_SPLIT = rf"(?<=\n)(?={BREAK_LINE})"
 # Offset 0 is a break for a heading or a ruled line, not for a blank line.
 _BREAK_AT_START = (
     rf"\A(?:{BLANK}*+#|[^\n]*+\n{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z))"
@@ -203,11 +203,15 @@ def chunk_documents(
     ``created_at`` fixes the time stamp; by default it is the start of the query.
     """
     opt = options or ChunkOptions()
+    keys = ["project", "file_path", "file_name", "file_sha1"]
+    return chunk_records(chunk_spans(documents.select(*keys, "text"), opt), opt, created_at)
+
+
+def chunk_records(spans: DataFrame, opt: ChunkOptions, created_at: Column | str | None = None) -> DataFrame:
+    """Chunk records of chunk spans with the columns of their documents."""
     if created_at is None:
         created_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     stamp = created_at if isinstance(created_at, Column) else F.lit(created_at)
-    keys = ["project", "file_path", "file_name", "file_sha1"]
-    spans = chunk_spans(documents.select(*keys, "text"), opt)
     return spans.select(
         chunk_id(F.col("project"), F.col("file_path"), F.col("chunk_index"), F.col("file_sha1")).alias("chunk_id"),
         "project",

@@ -233,6 +233,7 @@ def build() -> dict[str, str]:
     out["chunks"] = f"{CHUNKS} SELECT {shape} FROM chunks"
     out["chunks_shipped_size"] = f"WITH RECURSIVE {chunk_ctes(4096, 128, 409)} SELECT {shape} FROM chunks"
     out["chunks_without_breaks"] = f"WITH RECURSIVE {chunk_ctes(64, 8, 0, False)} SELECT {shape} FROM chunks"
+    out["chunks_in_blocks"] = f"{CHUNKS} SELECT {shape} FROM chunks"
     out["chunk_overlap"] = f"""{CHUNKS} SELECT a.chunk_id, b.chunk_id AS next_id, a.token_end - b.token_start AS overlap_tokens,
       ends_with(a.text, array_to_string(regexp_extract_all(b.text, '{TOKEN_PATTERN}')[1:8], '')) AS same_text
       FROM chunks a JOIN chunks b ON a.doc_id = b.doc_id AND b.chunk_index = a.chunk_index + 1"""
@@ -271,6 +272,15 @@ def build() -> dict[str, str]:
         FROM e WINDOW w AS (PARTITION BY lane ORDER BY sha256(request_id), request_id))"""
     out["request_plan"] = f"""WITH {plan} SELECT request_id, lane, estimate, rejected, CASE WHEN NOT rejected THEN
       CAST(greatest(floor((req - 1) / 5), floor((tok - 1) / 3000)) AS BIGINT) END AS minute FROM c"""
+    out["request_schedule"] = f"""WITH RECURSIVE {plan},
+      o AS (SELECT lane, request_id, estimate, row_number() OVER (PARTITION BY lane ORDER BY sha256(request_id)) AS i FROM e WHERE estimate <= 3000),
+      walk AS (SELECT DISTINCT lane, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS t, CAST(-15000 AS BIGINT) AS u, CAST(-15000 AS BIGINT) AS v FROM o
+        UNION ALL SELECT lane, i, t, greatest(t - 15000, u) + estimate * 5, greatest(t - 15000, v) + 3000
+        FROM (SELECT o.lane, o.i, o.estimate, walk.u, walk.v, greatest(walk.t, walk.u + o.estimate * 5, walk.v + 3000) AS t
+          FROM walk JOIN o ON o.lane = walk.lane AND o.i = walk.i + 1))
+      SELECT e.request_id, e.lane, e.estimate, e.estimate > 3000 AS rejected, t AS start_units,
+        CAST(t * 60 AS DOUBLE) / CAST(15000 AS DOUBLE) AS start_seconds, t // 15000 AS minute
+      FROM e LEFT JOIN o ON o.lane = e.lane AND o.request_id = e.request_id LEFT JOIN walk ON walk.lane = o.lane AND walk.i = o.i"""
     out["completions"] = f"""WITH r AS (SELECT doc_id, length(text) % 4 + 1 AS need, length(text) % 13 = 0 AS fails, length(text) AS n FROM documents)
       SELECT CAST(doc_id AS VARCHAR) AS request_id, CAST(CASE WHEN fails THEN 1 ELSE least(need, 3) END AS INTEGER) AS attempt,
       CASE WHEN fails THEN 'failed' WHEN need > 3 THEN 'empty' ELSE 'ok' END AS status,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.functions import ids, jsonfix, tokens
-from chunkwright.operators import audit, checks, chunking, completion, outcomes, packing, prompts, replies, requests
+from chunkwright.operators import audit, blocks, checks, chunking, completion, outcomes, packing, prompts, replies, requests, schedule
 from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
 from chunkwright.schemas import CHUNK_DDL
 from chunkwright.session import durable
@@ -186,6 +186,13 @@ def chunks_without_breaks(spark, sf_dir):
     return fx.chunks(spark, sf_dir, fx.PLAIN).select(*CHUNK_SHAPE)
 
 
+@query
+def chunks_in_blocks(spark, sf_dir):
+    """Every text cut as if it were too long for one task."""
+    made = blocks.chunk_large_documents(fx.documents(spark, sf_dir), fx.SMALL, fx.STAMP, block_chars=1500)
+    return made.select(*CHUNK_SHAPE)
+
+
 @query
 def chunk_overlap(spark, sf_dir):
     made = fx.chunks(spark, sf_dir).select("project", "file_path", "chunk_index", "chunk_id", "token_start", "token_end", "text")
@@ -278,6 +285,13 @@ def request_plan(spark, sf_dir):
     )
 
 
+@query
+def request_schedule(spark, sf_dir):
+    return schedule.request_schedule(
+        _document_requests(spark, sf_dir), max_tokens=256, requests_per_minute=5, tokens_per_minute=3000, lane="lane"
+    )
+
+
 @query
 def completions(spark, sf_dir):
     def stub_model(messages: list[dict], attempt: int) -> str:
