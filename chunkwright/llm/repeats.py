@@ -41,7 +41,7 @@ from chunkwright.llm.shared import ragged, text_parts
 from chunkwright.session import durable
 
 WINDOW = 20
-GRAM = 8
+GRAM = 7
 # Bytes of text, and words of one text, worked on at a time.
 STEP_BYTES = 2 << 20
 STEP_WORDS = 1 << 18
@@ -115,16 +115,32 @@ def _word_hashes(rows: list[list[bytes]], hashes: _WordHashes) -> np.ndarray:
     return np.fromiter((hashes[w] for row in rows for w in row), np.uint64, sum(map(len, rows)))
 
 
-def keyed(documents: DataFrame) -> DataFrame:
-    """The key and a hash of the text, which tell rows apart, and the text."""
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+def copy_column(documents: DataFrame) -> Column:
+    """What tells rows of one ``doc_id`` apart: nothing where ids are unique, else a hash of the text."""
+    shared = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return F.lit(0).cast("bigint") if shared.isEmpty() else F.xxhash64("text")
 
 
-KEYS = "doc_id bigint, text_hash bigint"
+def keyed(documents: DataFrame, copy: Column) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), copy.alias("copy"), "text")
 
 
-def anchor_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, text_hash, at, n, anchor, span`` of all spans: ``n`` windows from word ``at`` on, with one anchor."""
+KEYS = "doc_id bigint, copy bigint"
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """A step's result, written to the shared folder.
+
+    Spark drops the shuffle files of a step once the driver's collector finds that nothing refers to
+    them; asked for after every step, only one step's files lie on the executors' disks at a time.
+    """
+    result = durable(df, name)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return result
+
+
+def anchor_spans(documents: DataFrame, copy: Column, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``doc_id, copy, at, n, anchor, span`` of all spans: ``n`` windows from word ``at`` on, with one anchor."""
 
     def step(part: pa.RecordBatch, hashes: _WordHashes) -> Iterator[pa.RecordBatch]:
         rows = [raw.split() for raw in part.column("text").cast(pa.binary()).to_pylist()]
@@ -143,9 +159,9 @@ def anchor_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -
             first += low
             text = texts[first]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(text)), part.column("text_hash").take(pa.array(text)),
+                [part.column("doc_id").take(pa.array(text)), part.column("copy").take(pa.array(text)),
                  pa.array(first - base[text], pa.int32()), pa.array(n, pa.int32()), pa.array(anchor.view(np.int64)), pa.array(span.view(np.int64))],
-                ["doc_id", "text_hash", "at", "n", "anchor", "span"],
+                ["doc_id", "copy", "at", "n", "anchor", "span"],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,24 +170,24 @@ def anchor_spans(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -
             for part in text_parts(batch, "text", STEP_BYTES):
                 yield from step(part, hashes)
 
-    return keyed(documents).where("text IS NOT NULL").mapInArrow(run, f"{KEYS}, at int, n int, anchor bigint, span bigint")
+    return keyed(documents, copy).where("text IS NOT NULL").mapInArrow(run, f"{KEYS}, at int, n int, anchor bigint, span bigint")
 
 
 def _place() -> Column:
-    return F.struct("doc_id", "text_hash", "at")
+    return F.struct("doc_id", "copy", "at")
 
 
 def whole_spans(seeds: DataFrame, classes: DataFrame) -> DataFrame:
-    """Occurrences of spans after the first of equal ones: ``doc_id, text_hash, at, n``."""
+    """Occurrences of spans after the first of equal ones: ``doc_id, copy, at, n``."""
     found = seeds.join(classes.where("occurrences > 1").select("anchor", "span", "first"), ["anchor", "span"])
-    return found.where(~_place().eqNullSafe(F.col("first"))).select("doc_id", "text_hash", "at", "n")
+    return found.where(~_place().eqNullSafe(F.col("first"))).select("doc_id", "copy", "at", "n")
 
 
-def partial_spans(documents: DataFrame, classes: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Later windows within first occurrences of spans that share their anchor with others: ``doc_id, text_hash, at, n``."""
+def partial_spans(documents: DataFrame, copy: Column, classes: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Later windows within first occurrences of spans that share their anchor with others: ``doc_id, copy, at, n``."""
     shared = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1").select("anchor")
     leaders = classes.join(shared, "anchor").select("first.*", "n")
-    listed = leaders.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
+    listed = leaders.groupBy("doc_id", "copy").agg(F.collect_list(F.struct("at", "n")).alias("spans"))
 
     def step(part: pa.RecordBatch, hashes: _WordHashes) -> Iterator[pa.RecordBatch]:
         rows = [raw.split() for raw in part.column("text").cast(pa.binary()).to_pylist()]
@@ -184,9 +200,9 @@ def partial_spans(documents: DataFrame, classes: DataFrame, window: int = WINDOW
         first = (np.cumsum(lengths) - lengths)[text] + at
         one, two = Stretches(words), Stretches(words, _OTHER_BASE)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id").take(pa.array(text)), part.column("text_hash").take(pa.array(text)), pa.array(at, pa.int32()),
+            [part.column("doc_id").take(pa.array(text)), part.column("copy").take(pa.array(text)), pa.array(at, pa.int32()),
              pa.array(one.hashes(first, window).view(np.int64)), pa.array(two.hashes(first, window).view(np.int64))],
-            ["doc_id", "text_hash", "at", "h1", "h2"],
+            ["doc_id", "copy", "at", "h1", "h2"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,47 +212,47 @@ def partial_spans(documents: DataFrame, classes: DataFrame, window: int = WINDOW
                 yield from step(part, hashes)
 
     # One row of equal ones is enough: they hold the same windows.
-    wanted = _joined(keyed(documents), listed, "inner").select("doc_id", "text_hash", "text", "spans")
-    windows = durable(wanted.mapInArrow(run, f"{KEYS}, at int, h1 bigint, h2 bigint"), "windows")
+    wanted = _joined(keyed(documents, copy), F.col("copy"), listed, "inner").select("doc_id", "copy", "text", "spans")
+    windows = _written(wanted.mapInArrow(run, f"{KEYS}, at int, h1 bigint, h2 bigint"), "windows")
     firsts = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n")
     later = windows.join(firsts, ["h1", "h2"]).where(~_place().eqNullSafe(F.col("first")))
-    return later.select("doc_id", "text_hash", "at", F.lit(1).alias("n"))
+    return later.select("doc_id", "copy", "at", F.lit(1).alias("n"))
 
 
-def _joined(documents: DataFrame, found: DataFrame, how: str) -> DataFrame:
+def _joined(documents: DataFrame, copy: Column, found: DataFrame, how: str) -> DataFrame:
     """Documents with what was found by key, in a sort-merge join: both sides grow with the corpus."""
     named = found.select(*[F.col(c).alias(f"_sr_{c}") if c in KEY_NAMES else F.col(c) for c in found.columns])
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_sr_doc_id")) & (F.xxhash64("text") == F.col("_sr_text_hash"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_sr_doc_id")) & (copy == F.col("_sr_copy"))
     return documents.join(named.hint("merge"), same, how)
 
 
-KEY_NAMES = ("doc_id", "text_hash")
+KEY_NAMES = ("doc_id", "copy")
 
 
-def covered_words(documents: DataFrame, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
+def covered_words(documents: DataFrame, copy: Column, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Per document with later windows their first words and numbers, and the keys of documents with equal rows."""
-    spans = durable(anchor_spans(documents, window, gram), "anchor-spans")
+    spans = _written(anchor_spans(documents, copy, window, gram), "anchor-spans")
     repeated = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1").select("anchor")
-    seeds = durable(spans.join(repeated, "anchor"), "seeds")
+    seeds = _written(spans.join(repeated, "anchor"), "seeds")
     classes = seeds.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("occurrences"), F.min(_place()).alias("first"), F.first("n").alias("n"))
-    classes = durable(classes, "span-classes")
-    later = whole_spans(seeds, classes).unionByName(partial_spans(documents, classes, window))
-    covered = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "n")).alias("_sr_spans"))
+    classes = _written(classes, "span-classes")
+    later = whole_spans(seeds, classes).unionByName(partial_spans(documents, copy, classes, window))
+    covered = later.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("at", "n")).alias("_sr_spans"))
     # Every row with a window has one span at its start.
-    equal = spans.where("at = 0").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return covered, equal.drop("rows")
+    equal = spans.where("at = 0").groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    return _written(covered, "covered-words"), _written(equal.drop("rows"), "equal-rows")
 
 
 def _decide(documents: DataFrame, window: int, gram: int) -> DataFrame:
     """All columns, the later windows of each row as ``_sr_spans``, and whether all its words go as ``_sr_all``."""
-    covered, equal = covered_words(documents, window, gram)
-    equal = durable(equal, "equal-rows")
-    joined = _joined(documents, covered, "left").drop("_sr_doc_id", "_sr_text_hash")
+    copy = copy_column(documents)
+    covered, equal = covered_words(documents, copy, window, gram)
+    joined = _joined(documents, copy, covered, "left").drop("_sr_doc_id", "_sr_copy")
     if equal.isEmpty():
         return joined.withColumn("_sr_all", F.lit(False))
-    marked = _joined(joined, equal.withColumn("_sr_equal", F.lit(True)), "left")
+    marked = _joined(joined, copy, equal.withColumn("_sr_equal", F.lit(True)), "left")
     twins = durable(marked.where("_sr_equal").withColumn("_sr_row", F.monotonically_increasing_id()), "twins")
-    kept = twins.groupBy("_sr_doc_id", "_sr_text_hash").agg(F.min("_sr_row").alias("_sr_row")).select("_sr_row", F.lit(True).alias("_sr_kept"))
+    kept = twins.groupBy("_sr_doc_id", "_sr_copy").agg(F.min("_sr_row").alias("_sr_row")).select("_sr_row", F.lit(True).alias("_sr_kept"))
     told = twins.join(kept, "_sr_row", "left").withColumn("_sr_all", F.col("_sr_kept").isNull())
     single = marked.where("_sr_equal IS NULL").withColumn("_sr_all", F.lit(False))
     return single.select(*joined.columns, "_sr_all").unionByName(told.select(*joined.columns, "_sr_all"))
