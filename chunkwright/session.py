@@ -73,12 +73,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A result written once as parquet in the shared folder, and its path."""
+    path = f"{checkpoint_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stored results that nothing will read again."""
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def durable(df: DataFrame, name: str) -> DataFrame:
     """Write a result once as parquet in the shared folder and go on from the files.
 
     Used where a plan must not be run twice (model replies) or is costly and feeds
     several sinks.  The files outlive lost executors and keep column pruning.
     """
-    path = f"{checkpoint_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, name)[0]
