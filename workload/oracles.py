@@ -294,6 +294,12 @@ def build() -> dict[str, str]:
     out["strip_commas"] = f"""{REPLIES} SELECT chunk_id, CASE k WHEN 3 THEN replace(content, concat(',', chr(10), ']'), concat(chr(10), ']'))
       WHEN 5 THEN replace(content, ', ]', ' ]') ELSE content END AS stripped FROM replies"""
     out["json_validity"] = f"""{REPLIES} SELECT chunk_id, CASE WHEN k = 9 THEN 'EMPTY' WHEN k IN (0, 6, 7, 10, 11) THEN NULL ELSE 'INVALID' END AS problem FROM replies"""
+    out["json_faults"] = f"""{REPLIES} SELECT chunk_id,
+      CASE k WHEN 3 THEN 'Illegal trailing comma before end of array' WHEN 4 THEN concat('Invalid ', chr(92), 'escape') ELSE 'Expecting value' END AS message,
+      CAST(CASE k WHEN 9 THEN 2 ELSE 1 END AS INTEGER) AS line,
+      CAST(CASE k WHEN 3 THEN length(concat('[', first_item, ', ', second_item)) + 1 WHEN 4 THEN strpos(content, concat(chr(92), 'q '))
+        WHEN 8 THEN length(content) + 1 WHEN 9 THEN 2 ELSE 1 END AS INTEGER) AS "column"
+      FROM replies WHERE k NOT IN (0, 6, 7, 10, 11)"""
     out["parse_robust"] = f"{ELEMENTS} SELECT chunk_id, position, problem, solution, problem_is_text FROM elements"
     out["parse_stage_stats"] = f"""{REPLIES} SELECT CASE WHEN k IN (8, 9) THEN 0 WHEN k = 3 THEN 3 WHEN k = 4 THEN 2 WHEN k = 5 THEN 4 ELSE 1 END AS stage,
       count(*) AS replies FROM replies GROUP BY 1"""

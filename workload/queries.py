@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunkwright.functions import ids, jsonfix, tokens
+from chunkwright.functions import ids, jsonfix, jsonscan, tokens
 from chunkwright.operators import audit, blocks, checks, chunking, completion, outcomes, packing, prompts, replies, requests, schedule
 from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
 from chunkwright.schemas import CHUNK_DDL
@@ -337,6 +337,12 @@ def json_validity(spark, sf_dir):
     return fx.chunk_replies(fx.chunks(spark, sf_dir)).select("chunk_id", jsonfix.json_problem(F.col("content")).alias("problem"))
 
 
+@query
+def json_faults(spark, sf_dir):
+    replied = fx.chunk_replies(fx.chunks(spark, sf_dir)).select("chunk_id", jsonscan.json_fault(F.col("content")).alias("fault"))
+    return replied.where("fault IS NOT NULL").select("chunk_id", "fault.*")
+
+
 @query
 def parse_robust(spark, sf_dir):
     elements = replies.reply_elements(fx.parsed_replies(fx.chunks(spark, sf_dir)))
