@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from chunkwright.functions.text import BLANK_CHARS
 from chunkwright.functions.tokens import TOKEN_PATTERN
-from chunkwright.operators import prompts
+from chunkwright.operators import permutation, prompts
 from chunkwright.schemas import CHECK_NAMES
 from workload import fixtures as fx
 
@@ -206,6 +206,20 @@ UNSCALED = [("a", 2.0), ("b", 1.0), ("c", 1.0)]
 SHIPPED_RATIOS = [("train", 0.98), ("test", 0.02)]
 
 
+def permuted_documents(seed: int) -> str:
+    """Documents numbered in their stored order, each number sent through the rounds until it is below the total."""
+    prime = permutation._PRIME
+    rounds = "SELECT doc_id, pass, a, b, v // b AS x, v % b AS y FROM walk, p WHERE pass = 0 OR v >= n"
+    for r, (times, plus) in enumerate(permutation._keys(seed)):
+        spread = f"SELECT *, (y * {times} + {plus}) % {prime} AS t FROM ({rounds})"
+        rounds = f"SELECT doc_id, pass, a, b, y AS x, (x + ((t * t) % {prime} * t + {plus}) % {prime}) % {'ab'[r % 2]} AS y FROM ({spread})"
+    return f"""WITH RECURSIVE s AS (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM documents),
+      p AS (SELECT n, a, (n + a - 1) // a AS b FROM s),
+      walk AS (SELECT doc_id, 0 AS pass, row_number() OVER (ORDER BY doc_id) - 1 AS v FROM documents
+        UNION ALL SELECT doc_id, pass + 1, x * b + y FROM ({rounds}))
+      SELECT doc_id, v AS rank, n AS total FROM walk, p WHERE pass > 0 AND v < n"""
+
+
 def build() -> dict[str, str]:
     """Oracle per query name."""
     shape = "chunk_id, project, file_path, file_name, chunk_index, total_chunks, token_start, token_end, text, file_sha1"
@@ -354,6 +368,7 @@ def build() -> dict[str, str]:
     out["split_assign_unscaled"] = f"{ranked(7, UNSCALED, 50)} SELECT chunk_id, split, rank_in_split FROM splits"
     out["split_counts"] = f"""{ranked(fx.SEED, SHIPPED_RATIOS, 5000)} SELECT split, count(*) AS num_items FROM splits GROUP BY split
       UNION ALL SELECT * FROM (VALUES ('train', 0), ('test', 0)) v(split, num_items) WHERE (SELECT count(*) FROM splits) = 0"""
+    out["permuted_rank"] = permuted_documents(fx.SEED)
     out["shard_assign"] = f"{ranked(fx.SEED, THREE, 50)} SELECT chunk_id, split, shard, file, rank_in_split FROM named"
     out["shard_counts"] = f"{ranked(fx.SEED, THREE, 50)} SELECT split, shard, file, count(*) AS num_items FROM named GROUP BY ALL"
     out["manifest"] = f"""{ranked(fx.SEED, THREE, 50)}, f AS (SELECT split, file, count(*) AS shard_items, total FROM named GROUP BY ALL)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.functions import ids, jsonfix, jsonscan, tokens
-from chunkwright.operators import audit, blocks, checks, chunking, completion, outcomes, packing, prompts, replies, requests, schedule
+from chunkwright.operators import audit, blocks, checks, chunking, completion, outcomes, packing, permutation, prompts, replies, requests, schedule
 from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
 from chunkwright.schemas import CHUNK_DDL
 from chunkwright.session import durable
@@ -549,6 +549,12 @@ def shuffle_rank(spark, sf_dir):
     return _ranked(spark, sf_dir)
 
 
+@query
+def permuted_rank(spark, sf_dir):
+    """Ranks of stored rows by a bijection of their numbers."""
+    return permutation.permuted_rank(fx.table(spark, sf_dir, "documents"), fx.SEED).select("doc_id", "rank", "total")
+
+
 @query
 def split_assign(spark, sf_dir):
     return packing.assign_splits(_ranked(spark, sf_dir), THREE).select("chunk_id", "split", "rank_in_split")
