@@ -33,12 +33,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkwright.llm.shared import ragged, text_parts
-from chunkwright.session import durable
+from chunkwright.session import discard, durable, stored
 
 WINDOW = 20
 GRAM = 7
@@ -128,15 +128,23 @@ def keyed(documents: DataFrame, copy: Column) -> DataFrame:
 KEYS = "doc_id bigint, copy bigint"
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """A step's result, written to the shared folder.
+class Steps:
+    """Results of steps, written to the shared folder and dropped when nothing reads them any more.
 
     Spark drops the shuffle files of a step once the driver's collector finds that nothing refers to
     them; asked for after every step, only one step's files lie on the executors' disks at a time.
     """
-    result = durable(df, name)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return result
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        result, self.paths[name] = stored(df, name)
+        self.spark.sparkContext._jvm.System.gc()
+        return result
+
+    def drop(self, *names: str) -> None:
+        discard(self.spark, *map(self.paths.pop, names))
 
 
 def anchor_spans(documents: DataFrame, copy: Column, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -183,7 +191,7 @@ def whole_spans(seeds: DataFrame, classes: DataFrame) -> DataFrame:
     return found.where(~_place().eqNullSafe(F.col("first"))).select("doc_id", "copy", "at", "n")
 
 
-def partial_spans(documents: DataFrame, copy: Column, classes: DataFrame, window: int = WINDOW) -> DataFrame:
+def partial_spans(documents: DataFrame, copy: Column, classes: DataFrame, steps: Steps, window: int = WINDOW) -> DataFrame:
     """Later windows within first occurrences of spans that share their anchor with others: ``doc_id, copy, at, n``."""
     shared = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1").select("anchor")
     leaders = classes.join(shared, "anchor").select("first.*", "n")
@@ -213,8 +221,9 @@ def partial_spans(documents: DataFrame, copy: Column, classes: DataFrame, window
 
     # One row of equal ones is enough: they hold the same windows.
     wanted = _joined(keyed(documents, copy), F.col("copy"), listed, "inner").select("doc_id", "copy", "text", "spans")
-    windows = _written(wanted.mapInArrow(run, f"{KEYS}, at int, h1 bigint, h2 bigint"), "windows")
+    windows = steps.write(wanted.mapInArrow(run, f"{KEYS}, at int, h1 bigint, h2 bigint"), "windows")
     firsts = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")).where("n > 1").drop("n")
+    firsts = steps.write(firsts, "first-windows")
     later = windows.join(firsts, ["h1", "h2"]).where(~_place().eqNullSafe(F.col("first")))
     return later.select("doc_id", "copy", "at", F.lit(1).alias("n"))
 
@@ -231,16 +240,23 @@ KEY_NAMES = ("doc_id", "copy")
 
 def covered_words(documents: DataFrame, copy: Column, window: int = WINDOW, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
     """Per document with later windows their first words and numbers, and the keys of documents with equal rows."""
-    spans = _written(anchor_spans(documents, copy, window, gram), "anchor-spans")
-    repeated = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1").select("anchor")
-    seeds = _written(spans.join(repeated, "anchor"), "seeds")
-    classes = seeds.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("occurrences"), F.min(_place()).alias("first"), F.first("n").alias("n"))
-    classes = _written(classes, "span-classes")
-    later = whole_spans(seeds, classes).unionByName(partial_spans(documents, copy, classes, window))
-    covered = later.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("at", "n")).alias("_sr_spans"))
+    steps = Steps(documents.sparkSession)
+    spans = steps.write(anchor_spans(documents, copy, window, gram), "anchor-spans")
     # Every row with a window has one span at its start.
     equal = spans.where("at = 0").groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return _written(covered, "covered-words"), _written(equal.drop("rows"), "equal-rows")
+    equal = steps.write(equal.drop("rows"), "equal-rows")
+    # What is counted is written before it is joined: only then may Spark split a hot anchor's rows over tasks.
+    repeated = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1").select("anchor")
+    seeds = steps.write(spans.join(steps.write(repeated, "repeated-anchors"), "anchor"), "seeds")
+    steps.drop("anchor-spans", "repeated-anchors")
+    classes = seeds.groupBy("anchor", "span").agg(F.count(F.lit(1)).alias("occurrences"), F.min(_place()).alias("first"), F.first("n").alias("n"))
+    classes = steps.write(classes, "span-classes")
+    whole = steps.write(whole_spans(seeds, classes), "whole-spans")
+    steps.drop("seeds")
+    later = whole.unionByName(partial_spans(documents, copy, classes, steps, window))
+    covered = steps.write(later.groupBy("doc_id", "copy").agg(F.collect_set(F.struct("at", "n")).alias("_sr_spans")), "covered-words")
+    steps.drop("span-classes", "whole-spans", "windows", "first-windows")
+    return covered, equal
 
 
 def _decide(documents: DataFrame, window: int, gram: int) -> DataFrame:
