@@ -18,11 +18,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, use: Co
 
     Labels other than 0 and 1 and null keys do not count; of contradicting labels the larger one
     holds.  The labels taken are those with the smallest key hashes, so a run repeats them.  They
-    are ``limit`` rows at most, which bounds what is broadcast.
+    are ``limit`` rows at most, which bounds what is broadcast; of several documents with one key the one
+    whose text has the smallest hash counts, so no more documents than labels come back.
     """
     clean = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("label")
     )
     usable = clean.where(use).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return keyed_texts(documents).join(F.broadcast(chosen), "doc_id")
+    found = keyed_texts(documents).join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwright.llm import alignment, bpe, decontaminate, hilbert, line_dedup, minhash, quality, repeats, runs, secrets, token_files, topk, toxicity
-from chunkwright.session import durable
+from chunkwright.session import checkpoint_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,7 +91,8 @@ def op8_token_files(spark, sf_dir):
 @query
 def op9_secret_scan(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
-    return secrets.secret_digests(documents, durable(secrets.scan_unseen(documents), "ledger"))
+    ledger = secrets.scan_history(documents, f"{checkpoint_root(spark)}/secret-ledger-{uuid.uuid4().hex}")
+    return secrets.secret_digests(documents, ledger)
 
 
 @query

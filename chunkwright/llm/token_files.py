@@ -11,15 +11,21 @@ number of ids.  Layout (little-endian)::
     footer    8 x uint64: magic, id width, n_docs, n_ids, seed, n_levels, bytes of bits, 0
 
 Null and empty texts hold the end id alone.  Documents that share a ``doc_id`` (null included)
-are told apart by ``copy``, their number in text order.  Files are written under a name of
+are told apart by ``copy``, their number within the shard; a key with very many rows is dealt over
+several shards.  An empty table gives no file, other columns are ignored, and a very long text is encoded
+alone, each of its distinct pieces once.  Files are written under a name of
 their own and renamed, so a repeated task leaves one whole file.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +35,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwright.llm.mph import PerfectHash
-from chunkwright.llm.pretokens import PieceEncoder, read_vocabulary, special_tokens, vocabulary_size
-from chunkwright.llm.shared import keyed_texts, text_parts
-from chunkwright.session import checkpoint_root
+from chunkwright.llm.pretokens import BLANK, PieceEncoder, read_vocabulary, special_tokens, vocabulary_size
+from chunkwright.llm.shared import keyed_texts, ragged, text_parts
+from chunkwright.session import checkpoint_root, durable
 
 MAGIC = 0x3130_5844_494B_4F54
 END_ID = 2
@@ -40,6 +46,9 @@ RECORD = np.dtype([("fingerprint", "<u4"), ("count", "<u4"), ("first", "<u8")])
 SHARD_BYTES = 32 << 20
 # Bytes of text encoded at a time: the arrays of a step take many times as much.
 STEP_BYTES = 2 << 20
+# Characters of pieces encoded in one row.
+ROW_CHARS = 1 << 14
+BLANKS = frozenset(filter(re.compile(f"[{BLANK}]").match, map(chr, range(0x3001))))
 NULL_KEY = 1 << 40  # added to the copy number of documents without a key
 
 
@@ -47,24 +56,65 @@ def open_store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "", 1))
 
 
-def library_encoder(vocabulary: str) -> PieceEncoder:
-    """Encodes each distinct pretoken with the tokenizers library."""
-    import os
+class LibraryEncoder(PieceEncoder):
+    """Encodes each distinct piece once with the tokenizers library, many pieces in one row.
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(vocabulary)
-
-    def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, counts = [], []
-        for i in range(0, len(words), 20_000):
-            rows = [e.ids for e in tokenizer.encode_batch_fast(words[i : i + 20_000], add_special_tokens=False)]
-            counts += map(len, rows)
-            flat.append(np.array([t for row in rows for t in row], np.int32))
-        return np.concatenate(flat), np.array(counts, np.int64)
+    Pieces of a row stand one after the other as they would in a text, so the library cuts them alike; which
+    ids belong to which piece follows from the bytes of the tokens.
+    """
 
-    return PieceEncoder(encode_words, special_tokens(vocabulary))
+    def __init__(self, vocabulary: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        super().__init__(None, special_tokens(vocabulary))
+        self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.token_bytes = np.zeros(vocabulary_size(vocabulary), np.int64)
+        # One character of a byte-level token stands for one byte.
+        for token, i in json.loads(vocabulary)["model"]["vocab"].items():
+            self.token_bytes[i] = len(token)
+
+    def _learn(self) -> None:
+        fresh = self.pieces.take()
+        rows, row, size, begins = [], [], 0, []
+        for number, key in enumerate(fresh):
+            if isinstance(key, int):
+                continue
+            alone = isinstance(key, tuple)
+            piece = key[0] if alone else f" {key}"
+            if row and (alone or size > ROW_CHARS or row[-1][-1] in BLANKS):
+                rows.append("".join(row))
+                row, size = [], 0
+            row.append(piece)
+            size += len(piece)
+            begins.append(len(piece) if piece.isascii() else len(piece.encode("utf-8", "replace")))
+        if row:
+            rows.append("".join(row))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(rows, add_special_tokens=False)] if rows else []
+        flat = np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found)))
+        ends, bytes_end = np.cumsum(begins, dtype=np.int64), np.cumsum(self.token_bytes[flat])
+        upto = np.searchsorted(bytes_end, ends, "right")
+        if len(ends) and (upto[-1] != len(flat) or (bytes_end[upto - 1] != ends).any()):
+            raise ValueError("tokens do not end where pieces do")
+        lengths = np.diff(upto, prepend=0)
+        if len(begins) < len(fresh):  # special tokens stand for their own ids
+            is_id = np.array([isinstance(key, int) for key in fresh])
+            every = np.ones(len(fresh), np.int64)
+            every[~is_id] = lengths
+            at = np.cumsum(every) - every
+            whole = np.zeros(int(every.sum()), np.int32)
+            whole[at[is_id]] = [key for key in fresh if isinstance(key, int)]
+            whole[ragged(at[~is_id], lengths)] = flat
+            flat, lengths = whole, every
+        self.piece_ids.extend(flat, lengths)
+
+
+@lru_cache(maxsize=1)
+def library_encoder(vocabulary: str) -> LibraryEncoder:
+    """Kept by a worker, with the pieces it has learnt, from task to task."""
+    return LibraryEncoder(vocabulary)
 
 
 class ShardWriter:
@@ -148,8 +198,10 @@ def write_token_files(documents: DataFrame, vocabulary_path: str, root: str, sha
     texts = keyed_texts(documents)
     total = texts.select(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    # Copies of a key share a range, so their numbers follow from the order within the shard.
-    placed = texts.repartitionByRange(int(shards), "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one key, even equal ones, may span ranges: they are numbered within the shard.
+    numbered = texts.withColumns({"begin": F.substring("text", 1, 64), "row": F.monotonically_increasing_id()})
+    ranges = numbered.repartitionByRange(int(shards), "doc_id", "begin", "row")
+    placed = ranges.sortWithinPartitions("doc_id", "text").drop("begin", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, encoder, writer = TaskContext.get().partitionId(), None, None
@@ -182,9 +234,20 @@ def read_catalog(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(CATALOG).parquet(f"{root}/catalog")
 
 
-def shard_starts(catalog: DataFrame) -> DataFrame:
+def shard_sizes(catalog: DataFrame, root: str) -> DataFrame:
+    """``shard, n``: ids in each shard, from the footers of the files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [ShardReader(root, shard).n_ids for shard in batch.column("shard").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("shard"), pa.array(counts, pa.int64())], ["shard", "n"])
+
+    return catalog.select("shard").distinct().mapInArrow(run, "shard bigint, n bigint")
+
+
+def shard_starts(sizes: DataFrame) -> DataFrame:
     """Ids in all shards before each shard, by sums over blocks of shards instead of one long window."""
-    sums = catalog.groupBy("shard").agg(F.sum("n_tokens").alias("n")).withColumn("block", F.expr("shard div 1024"))
+    sums = sizes.withColumn("block", F.expr("shard div 1024"))
     before = lambda w, n: F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     blocks = sums.groupBy("block").agg(F.sum("n").alias("block_n"))
     blocks = blocks.select("block", before(Window.orderBy("block"), "block_n").alias("block_start"))
@@ -233,5 +296,5 @@ def token_digests(documents: DataFrame, vocabulary_path: str) -> DataFrame:
     """Write all documents as token files, read them back by key, and return their digests."""
     root = f"{checkpoint_root(documents.sparkSession)}/token-files-{uuid.uuid4().hex}"
     catalog = write_token_files(documents, vocabulary_path, root)
-    read = read_documents(catalog, root).join(shard_starts(catalog), "shard")
+    read = read_documents(catalog, root).join(shard_starts(durable(shard_sizes(catalog, root), "shard-sizes")), "shard")
     return read.select("doc_id", (F.col("shard_start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
