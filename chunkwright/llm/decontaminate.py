@@ -5,33 +5,37 @@ blanks (Chinese, Japanese, Thai, Lao, Khmer, Burmese, Tibetan) every character i
 by an item when some window of it is within the item's edit budget: ``EDIT_SHARE`` of its words,
 insertions, deletions and substitutions alike.
 
-1. A window within the budget keeps a known number of the item's word triples.  Starts of windows
+1. Items of more than ``SEGMENT`` words are cut into even segments of that length at most.  Of the edits
+   of an item some segment has no more than its own share of words allows, so an item is found by any of its segments.
+2. A window within the budget keeps a known number of the segment's word triples.  Starts of windows
    that hold fewer triples of any item are passed over; this loses nothing.
-2. At the starts left, the window is embedded by a random walk that copies the word it stands on
+3. At the starts left, the window is embedded by a random walk that copies the word it stands on
    and steps on or stays by a random bit of that word and step, so that few edits differ in few
-   places.  A key samples ``SAMPLED`` places; windows and items that share a key under any of the
+   places.  A key samples ``SAMPLED`` places; windows and segments that share a key under any of the
    repetitions are candidates.  The number of repetitions is the least that finds the share
-   ``RECALL`` of simulated items edited to the full budget, for the worst kind of edits.
-3. Candidates are verified by the exact edit distance, with a free end of the window.
+   ``RECALL`` of simulated segments edited to the full budget, for the worst kind of edits.
+4. Candidates are verified by the exact edit distance of the whole item, with a free end of the window.
 
-From the length on whose items need more than ``MAX_REPETITIONS`` (some 30 words), nothing is
-embedded: every start left by the triples of the item itself is verified, so none is missed.
+Every item that may have an edit goes this way, whatever its length.  Items of fewer than ``MIN_WORDS`` words may have
+none, as no triple would survive one: they are found where exactly their words stand in a row.
 
-Items of fewer than ``MIN_WORDS`` words have no edit budget: each is found where exactly its words
-stand in a row.  Items without words, empty and null items match nothing; repeated items count once per id.  Items are taken in blocks of at most ``ITEM_BLOCK``,
-which bounds what goes with a job.  Null and empty documents match nothing.  Other columns are
-ignored by ``matches`` and kept by ``drop_contaminated``.
+Items without words, empty and null items match nothing; repeated items count once per id.  Items are taken in blocks
+of at most ``ITEM_BLOCK`` items and ``ITEM_BYTES`` bytes, which bounds what goes with a job; a worker makes a block ready once.
+Null and empty documents match nothing; null and repeated ``doc_id`` and repeated rows are rows like any other, and an
+empty table gives an empty one.  Other columns are ignored by ``matches`` and kept by ``drop_contaminated``.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +43,13 @@ from chunkwright.llm.mph import mix
 from chunkwright.llm.shared import keyed_texts, ragged
 
 EDIT_SHARE = 0.2
-MIN_WORDS = 8
+MIN_WORDS = 6
+SEGMENT = 25
 SAMPLED = 3
-RECALL = 0.97
+RECALL = 0.99
 ITEM_BLOCK = 20_000
-MAX_REPETITIONS = 64
+ITEM_BYTES = 16 << 20
+LEAST_REPETITIONS, MAX_REPETITIONS = 12, 160
 REMEMBERED = 600_000
 UNSPLIT = -2  # stands for a word that holds several
 _MASK = (1 << 22) - 1
@@ -156,8 +162,8 @@ def _edited(length: int, kind: int | None, rng: np.random.Generator) -> list[int
 
 
 @lru_cache(maxsize=1024)
-def repetitions(length: int, steps: int) -> int | None:
-    """Repetitions that find ``RECALL`` of the items of this length with all their edits, if few enough.
+def repetitions(length: int, steps: int) -> int:
+    """Repetitions that find ``RECALL`` of the segments of this length with all their edits.
 
     An item is found with chance ``1 - (1 - r) ** repetitions``, its own ``r`` being the mean over walks.
     """
@@ -175,10 +181,10 @@ def repetitions(length: int, steps: int) -> int | None:
         equal += symbols[:, :-1] == symbols[:, -1:]
         at += rng.integers(0, 2, (walks, length + 2))[walk, symbols]
     rates = ((equal / steps) ** SAMPLED).mean(0).reshape(len(kinds), trials)
-    for number in range(2, MAX_REPETITIONS + 1):
+    for number in range(LEAST_REPETITIONS, MAX_REPETITIONS + 1):
         if (1 - (1 - rates) ** number).mean(1).min() >= RECALL:
             return number
-    return None
+    raise ValueError(f"{length} words need more than {MAX_REPETITIONS} repetitions")
 
 
 class Walks:
@@ -227,32 +233,31 @@ class Benchmark:
             codes = np.concatenate([_runs(self.items[i][1], n) for i in members])
             order = np.argsort(codes, kind="stable")
             self.short[n] = codes[order], members[order]
-        long = [i for i, (_, ids) in enumerate(self.items) if len(ids) >= MIN_WORDS]
-        for i in long:
-            self.known[_slots(_triples(self.items[i][1]))] = True
-        # Items of like length share windows: the longest is at most a fifth longer.
-        self.classes: list[list[int]] = []
-        for i in sorted(long, key=lambda i: len(self.items[i][1])):
-            n = len(self.items[i][1])
-            if not self.classes or n > 1.2 * len(self.items[self.classes[-1][0]][1]):
-                self.classes.append([])
-            self.classes[-1].append(i)
-        self.exact = False
-        self.searches = [self._search(members) for members in self.classes]
+        # Segments: their item, where they begin in it, and their words.
+        self.segments: list[tuple[int, int, np.ndarray]] = []
+        for i, (_, ids) in enumerate(self.items):
+            if len(ids) >= MIN_WORDS:
+                self.known[_slots(_triples(ids))] = True
+                cuts = np.linspace(0, len(ids), -(-len(ids) // SEGMENT) + 1).astype(int).tolist()
+                self.segments += [(i, low, ids[low:high]) for low, high in zip(cuts, cuts[1:])]
+        # Segments of like length share windows: the longest is at most a fifth longer.
+        classes: list[list[int]] = []
+        for n in sorted(range(len(self.segments)), key=lambda n: len(self.segments[n][2])):
+            size = len(self.segments[n][2])
+            if not classes or size > 1.2 * len(self.segments[classes[-1][0]][2]):
+                classes.append([])
+            classes[-1].append(n)
+        self.searches = [self._search(members) for members in classes]
 
     def _search(self, members: list[int]):
-        lengths = [len(self.items[i][1]) for i in members]
+        lengths = [len(self.segments[n][2]) for n in members]
         span = max(n + budget(n) for n in lengths) - 2
         need = min(n - 2 - 3 * budget(n) for n in lengths)
         shortest = lengths[0]
-        # Walks over all of a class are as long as its shortest item asks; its densest edits count.
-        number = None if self.exact else repetitions(max(lengths, key=lambda n: budget(n) / n), 2 * shortest)
-        if number is None:
-            # Longer items need more repetitions still.
-            self.exact = True
-            return span, need, None, ItemTriples([(i, self.items[i][1]) for i in members])
+        # Walks over all of a class are as long as its shortest segment asks; its densest edits count.
+        number = repetitions(max(lengths, key=lambda n: budget(n) / n), 2 * shortest)
         walks = Walks(shortest, number, len(self.vocabulary))
-        texts = np.concatenate([self.items[i][1] for i in members])
+        texts = np.concatenate([self.segments[n][2] for n in members])
         ends = np.cumsum(lengths)
         keys = walks.keys(texts, ends - lengths, ends)
         tables = []
@@ -262,42 +267,18 @@ class Benchmark:
         return span, need, walks, tables
 
 
-class ItemTriples:
-    """Which items hold which triples: finds every window within the budget, none is left to chance."""
-
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.items = items
-        self.own = [np.unique(_triples(ids)) for _, ids in items]
-        codes, members = np.concatenate(self.own), np.repeat(np.arange(len(items)), [len(o) for o in self.own])
-        order = np.argsort(codes, kind="stable")
-        self.codes, self.members = codes[order], members[order]
-        self.need = np.array([len(ids) - 2 - 3 * budget(len(ids)) for _, ids in items])
-
-    def best_windows(self, text: np.ndarray, places: np.ndarray, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """``(item, edits, first word, end word)`` of the items found in a text with these triples."""
-        distinct, times = np.unique(codes, return_counts=True)
-        left = np.searchsorted(self.codes, distinct, "left")
-        holders = np.searchsorted(self.codes, distinct, "right") - left
-        shared = np.bincount(self.members[ragged(left, holders)], np.repeat(times, holders), len(self.items))
-        for member in np.flatnonzero(shared >= self.need).tolist():
-            item, ids = self.items[member]
-            own, most, need = self.own[member], budget(len(ids)), int(self.need[member])
-            found = places[own[np.minimum(np.searchsorted(own, codes), len(own) - 1)] == codes]
-            firsts, lasts = found[: len(found) - need + 1], found[need - 1 :]
-            close = lasts - firsts < len(ids) + most - 2
-            # A start may precede its first triple by the triples that edits spoil.
-            low, high = np.maximum(0, lasts[close] - (len(ids) + most - 2) + 1), firsts[close]
-            if not len(low):
-                continue
-            best = (most + 1, 0)
-            # Starts that overlap are verified together; both bounds ascend.
-            cuts = np.flatnonzero(low[1:] > high[:-1]) + 1
-            for a, b in zip(low[np.r_[0, cuts]].tolist(), high[np.r_[cuts, len(high)] - 1].tolist()):
-                edits = least_edits(ids, text[a : b + len(ids) + most])[: b - a + 1]
-                best = min(best, (int(edits.min()), a + int(edits.argmin())))
-            edits, first = best
-            if edits <= most:
-                yield item, edits, first, first + edit_distance(ids, text[first : first + len(ids) + most], most)[1]
+def _best_window(item: np.ndarray, text: np.ndarray, starts: list[tuple[int, int]]) -> tuple[int, int]:
+    """Least edits, and the first word, of the windows of a text that begin within some ranges, ends included."""
+    most = budget(len(item))
+    found, until = (most + 1, 0), -1
+    for low, high in sorted(starts):
+        low = max(low, until + 1)
+        if low <= high:
+            edits = least_edits(item, text[low : high + len(item) + most])[: high - low + 1]
+            if len(edits):
+                found = min(found, (int(edits.min()), low + int(edits.argmin())))
+            until = high
+    return found
 
 
 class Finder:
@@ -353,6 +334,7 @@ class Finder:
                 start = at - int(ends[row] - lengths[row])
                 for item in members[left[at] : np.searchsorted(table, runs[at], "right")].tolist():
                     best[(row, item)] = (0, start, start + n)
+        wanted: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for span, need, walks, tables in self.benchmark.searches:
             # `need` known triples in a row of starts end within `span` of the first.
             if len(places) < need:
@@ -363,13 +345,6 @@ class Finder:
             firsts, lasts = firsts[same], lasts[same]
             if not len(firsts):
                 continue
-            if walks is None:
-                for row in np.unique(owner[firsts]).tolist():
-                    begin, end = int(ends[row] - lengths[row]), int(ends[row])
-                    a, b = np.searchsorted(places, [begin, end]).tolist()
-                    for item, *window in tables.best_windows(flat[begin:end], places[a:b] - begin, codes[a:b]):
-                        best[(row, item)] = (window[0], window[1], window[2])
-                continue
             # A start may precede its first known triple by the triples that edits spoil.
             begin_of = ends[owner[firsts]] - lengths[owner[firsts]]
             low = np.maximum(begin_of, lasts - span + 1)
@@ -386,33 +361,43 @@ class Finder:
                     for at in np.flatnonzero(right > left).tolist():
                         for item in members[left[at] : right[at]].tolist():
                             candidates.add((int(part[at]), item))
-            by_pair: dict[tuple[int, int], list[int]] = defaultdict(list)
-            for start, item in candidates:
-                by_pair[(int(owner[start]), item)].append(start)
-            for (row, item), found in by_pair.items():
-                _, ids = self.benchmark.items[item]
-                most = budget(len(ids))
-                for start in sorted(found):
-                    stop = min(int(ends[row]), start + len(ids) + most)
-                    edits, length = edit_distance(ids, flat[start:stop], most)
-                    first = start - int(ends[row] - lengths[row])
-                    if edits <= most and ((row, item) not in best or (edits, first) < best[(row, item)][:2]):
-                        best[(row, item)] = (edits, first, first + length)
-                        if not edits:
-                            break
+            for start, n in candidates:
+                item, offset, _ = self.benchmark.segments[n]
+                row = int(owner[start])
+                begin, most = start - int(ends[row] - lengths[row]) - offset, budget(len(self.benchmark.items[item][1]))
+                # Edits before the segment shift where the item begins.
+                slack = most if offset else 0
+                wanted[row, item].append((max(0, begin - slack), max(0, begin + slack)))
+        for (row, item), starts in wanted.items():
+            ids, text = self.benchmark.items[item][1], flat[ends[row] - lengths[row] : ends[row]]
+            edits, first = _best_window(ids, text, starts)
+            if edits <= budget(len(ids)):
+                best[(row, item)] = (edits, first, first + edit_distance(ids, text[first : first + len(ids) + budget(len(ids))], edits)[1])
         for (row, item), (edits, first, end) in sorted(best.items()):
             yield row, self.benchmark.items[item][0], first, end, edits
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items, some ``ITEM_BLOCK`` at a time: the only rows that come to the driver."""
+    """The items, some ``ITEM_BLOCK`` or ``ITEM_BYTES`` at a time: the only rows that come to the driver."""
     items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("bigint"), "text").distinct()
-    blocks = max(1, -(-items.count() // ITEM_BLOCK))
+    size = items.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size.rows // ITEM_BLOCK), -(-size.bytes // ITEM_BYTES))
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         yield [(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]
 
 
+_built: dict[str, Finder] = {}
+
+
+def _finder(shared: Broadcast, name: str) -> Finder:
+    """The finder of a block, made once per worker."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = Finder(Benchmark(shared.value))
+    return _built[name]
+
+
 FOUND = "doc_id bigint, item_id bigint, first_word int, end_word int, edits int"
 
 
@@ -421,10 +406,11 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     result = None
     for items in item_blocks(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            finder = None
+        shared, name = documents.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                finder = finder or Finder(Benchmark(items))
+                finder = _finder(shared, name)
                 found = list(finder(batch.column("text").to_pylist()))
                 ids = batch.column("doc_id").to_pylist()
                 columns = [[ids[f[0]] for f in found], *([f[i] for f in found] for i in range(1, 5))]
@@ -443,10 +429,11 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     kept = documents
     for items in item_blocks(benchmark):
 
-        def run(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            finder = None
+        shared, name = documents.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                finder = finder or Finder(Benchmark(items))
+                finder = _finder(shared, name)
                 clean = np.ones(batch.num_rows, bool)
                 clean[[f[0] for f in finder([t or "" for t in batch.column("text").to_pylist()])]] = False
                 yield batch.filter(pa.array(clean))

@@ -247,7 +247,8 @@ def test_short_items_and_scripts_without_blanks():
         f"他说：{han[:10]}，{han[10:]}。", "说" + han[:4] + "早" + han[5:], "春眠", f"ว่า{thai}", "short too", "",
     ]
     found = list(decontaminate.Finder(decontaminate.Benchmark(items))(texts))
-    want = {(0, 1, 0), (0, 2, 0), (2, 3, 0), (5, 4, 0), (6, 4, 1), (8, 5, 0), (6, 7, 0), (5, 7, 0)}
+    # Seven words may have one edit, so the text with one word more holds the third item too.
+    want = {(0, 1, 0), (0, 2, 0), (2, 3, 0), (3, 3, 1), (5, 4, 0), (6, 4, 1), (8, 5, 0), (6, 7, 0), (5, 7, 0)}
     assert {(row, item, edits) for row, item, _, _, edits in found} == want
     assert [f[2:4] for f in found if f[:2] == (0, 1)] == [(2, 4)] and [f[2:4] for f in found if f[:2] == (5, 4)] == [(2, 22)]
 

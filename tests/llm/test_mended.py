@@ -3,9 +3,12 @@
 import random
 import uuid
 
+import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
-from chunkwright.llm import minhash, secrets
+from chunkwright.llm import decontaminate, minhash, secrets
 from chunkwright.llm.labelled import labelled_sample
 from chunkwright.session import checkpoint_root
 
@@ -95,3 +98,46 @@ def test_history_of_all_documents(spark):
     whole = secrets.scan_unseen(documents)
     current = ledger.where(F.col("rule_version") == secrets.RULE_VERSION)
     assert sorted(map(str, current.collect())) == sorted(map(str, whole.collect()))
+
+
+def _edited(rng, words, edits):
+    copy = list(words)
+    for kind in rng.integers(0, 3, edits).tolist():
+        at = int(rng.integers(len(copy)))
+        copy[at : at + (kind != 1)] = ["new"] * (kind != 2)
+    return copy
+
+
+@pytest.mark.parametrize("length", [6, 7, 9, 13, 25, 33, 120])
+def test_items_of_every_length_are_found_through_the_embedding(length):
+    rng = np.random.default_rng(length)
+    items = [(i, [f"t{w}" for w in rng.integers(0, 5000, length)]) for i in range(40)]
+    benchmark = decontaminate.Benchmark([(i, " ".join(words)) for i, words in items])
+    assert {i for i, *_ in benchmark.segments} == set(range(40)) and not benchmark.short
+    assert max(len(s) for *_, s in benchmark.segments) <= decontaminate.SEGMENT
+    finder = decontaminate.Finder(benchmark)
+    for share in (0.1, 0.15, 0.2):
+        edits = min(decontaminate.budget(length), int(share * length)) if share < 0.2 else decontaminate.budget(length)
+        texts = [" ".join(["host"] * 20 + _edited(rng, words, edits) + ["host"] * 20) for _, words in items]
+        found = {row: n for row, item, _, _, n in finder(texts) if row == item}
+        assert len(found) >= 38 and max(found.values()) <= edits
+
+
+def test_matches_are_those_of_a_plain_edit_table(spark):
+    """Every document against every item, by a table of edits over the whole text."""
+    sf = "/root/testdata/sf0.001"
+    documents, benchmark = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "benchmark"))
+    words = {r.doc_id: decontaminate.words_of(r.text or "") for r in documents.collect()}
+    items = {r.item_id: decontaminate.words_of(r.text or "") for r in benchmark.collect()}
+    numbers: dict[str, int] = {}
+    coded = lambda ws: np.array([numbers.setdefault(w, len(numbers)) for w in ws], np.int64)
+    texts, wanted = {k: coded(w) for k, w in words.items()}, {}
+    for item, ws in items.items():
+        ids = coded(ws)
+        for doc, text in texts.items():
+            if len(text) and len(ids):
+                least = int(decontaminate.least_edits(ids, text).min())
+                if least <= decontaminate.budget(len(ids)):
+                    wanted[doc, item] = least
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.matches(documents, benchmark).collect()}
+    assert got == wanted and len(wanted) >= 3
