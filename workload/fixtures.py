@@ -279,3 +279,23 @@ def lines_folder(lines: DataFrame, name: str) -> str:
     folder = shared_folder(lines.sparkSession, name)
     write_named_lines(lines, folder, order="line")
     return folder
+
+
+def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reply of each document's attempts, and the verdicts on the items of its last one, some of which never come."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id")).alias("chunk_id"), "doc_id")
+    at = F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, doc_id % 3000)")
+    attempts = docs.select("*", F.explode(F.expr("sequence(1, int(1 + doc_id % 3))")).alias("attempt"))
+    last = F.expr("attempt = 1 + doc_id % 3 AND doc_id % 4 > 0")
+    items = F.expr("transform(sequence(0, int(doc_id % 4) - 1), i -> concat(chunk_id, '-', i))")
+    replies = attempts.select(
+        "chunk_id", F.lit("reply").alias("kind"), "attempt", F.when(last, items).otherwise(F.array().cast("array<string>")).alias("items"),
+        F.lit(None).cast("string").alias("item"), F.lit(None).cast("boolean").alias("passed"), at.alias("at"),
+    )
+    verdicts = docs.where("doc_id % 4 > 0").select("*", F.explode(F.expr("sequence(0, int(doc_id % 4) - 1)")).alias("i")).where("(doc_id + i) % 7 > 0")
+    return replies.unionByName(
+        verdicts.select(
+            "chunk_id", F.lit("verdict").alias("kind"), F.lit(None).cast("int").alias("attempt"), F.lit(None).cast("array<string>").alias("items"),
+            F.expr("concat(chunk_id, '-', i)").alias("item"), F.expr("(doc_id + i) % 3 > 0").alias("passed"), at.alias("at"),
+        )
+    )

@@ -368,6 +368,12 @@ def build() -> dict[str, str]:
     out["split_assign_unscaled"] = f"{ranked(7, UNSCALED, 50)} SELECT chunk_id, split, rank_in_split FROM splits"
     out["split_counts"] = f"""{ranked(fx.SEED, SHIPPED_RATIOS, 5000)} SELECT split, count(*) AS num_items FROM splits GROUP BY split
       UNION ALL SELECT * FROM (VALUES ('train', 0), ('test', 0)) v(split, num_items) WHERE (SELECT count(*) FROM splits) = 0"""
+    out["streamed_progress"] = """WITH d AS (SELECT doc_id, doc_id % 4 AS n, range(doc_id % 4) AS items FROM documents),
+      c AS (SELECT doc_id, n, len(list_filter(items, lambda i: (doc_id + i) % 7 = 0)) AS missing,
+        len(list_filter(items, lambda i: (doc_id + i) % 7 > 0 AND (doc_id + i) % 3 = 0)) AS rejected FROM d)
+      SELECT concat('d', CAST(doc_id AS VARCHAR)) AS chunk_id, CAST(1 + doc_id % 3 AS INTEGER) AS attempt,
+        CASE WHEN n = 0 THEN 'failed' WHEN missing > 0 THEN 'open' ELSE 'done' END AS status, CAST(n AS INTEGER) AS generated,
+        CAST(n - rejected AS INTEGER) AS verified, CAST(rejected AS INTEGER) AS rejected, CAST(missing AS INTEGER) AS missing FROM c"""
     out["permuted_rank"] = permuted_documents(fx.SEED)
     out["shard_assign"] = f"{ranked(fx.SEED, THREE, 50)} SELECT chunk_id, split, shard, file, rank_in_split FROM named"
     out["shard_counts"] = f"{ranked(fx.SEED, THREE, 50)} SELECT split, shard, file, count(*) AS num_items FROM named GROUP BY ALL"

@@ -14,6 +14,7 @@ from chunkwright.schemas import CHUNK_DDL
 from chunkwright.session import durable
 from chunkwright.sources import jsonl, markdown
 from chunkwright.sources.shards import write_named_lines
+from chunkwright.streaming import progress
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,6 +529,21 @@ def sample_chunk(spark, sf_dir):
     return audit.sample_chunk(fx.chunks(spark, sf_dir)).select(*CHUNK_SHAPE)
 
 
+# --- streaming -------------------------------------------------------------------
+
+
+@query
+def streamed_progress(spark, sf_dir):
+    """Progress of chunks whose events land first, and whose patience then runs out on the event clock."""
+    folder = fx.shared_folder(spark, "progress")
+    events = fx.progress_events(spark, sf_dir)
+    tick = "SELECT 'tick' AS chunk_id, 'reply' AS kind, 1 AS attempt, CAST(array() AS array<string>) AS items, timestamp'2024-01-01 00:00:00' + INTERVAL '{} hours' AS at"
+    for landed in (events, spark.sql(tick.format(9)), spark.sql(tick.format(18))):
+        landed.write.mode("append").json(f"{folder}/landing")
+        progress.follow_progress(spark, f"{folder}/landing", f"{folder}/closed", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(progress.PROGRESS_DDL).parquet(f"{folder}/closed").where("chunk_id <> 'tick'")
+
+
 # --- packing ---------------------------------------------------------------------
 
 
