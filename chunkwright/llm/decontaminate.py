@@ -63,6 +63,8 @@ _U = np.uint64
 
 
 def normal(word: str) -> str:
+    if word.isascii():
+        return word.lower() if word.isalnum() else _EDGE.sub("", word.lower())
     # Vowel and tone signs are characters of their own, no edge to strip.
     return word if _UNSPACED.fullmatch(word) else _EDGE.sub("", word.lower())
 
@@ -226,6 +228,7 @@ class Benchmark:
                 ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
                 self.items.append((item_id, np.array(ids, np.int32)))
         self.known = np.zeros(_MASK + 1, bool)
+        self._own: dict[int, np.ndarray] = {}
         # Items too short for edits by their length, in the order of their codes.
         self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in sorted({len(ids) for _, ids in self.items if len(ids) < MIN_WORDS}):
@@ -240,19 +243,24 @@ class Benchmark:
                 self.known[_slots(_triples(ids))] = True
                 cuts = np.linspace(0, len(ids), -(-len(ids) // SEGMENT) + 1).astype(int).tolist()
                 self.segments += [(i, low, ids[low:high]) for low, high in zip(cuts, cuts[1:])]
-        # Segments of like length share windows: the longest is at most a fifth longer.
-        classes: list[list[int]] = []
-        for n in sorted(range(len(self.segments)), key=lambda n: len(self.segments[n][2])):
-            size = len(self.segments[n][2])
-            if not classes or size > 1.2 * len(self.segments[classes[-1][0]][2]):
-                classes.append([])
-            classes[-1].append(n)
-        self.searches = [self._search(members) for members in classes]
+        # Items of like length, and of them segments of like length, share windows: the longest is at most a fifth longer.
+        long = [i for i, (_, ids) in enumerate(self.items) if len(ids) >= MIN_WORDS]
+        self.classes = []
+        for items in _alike(long, lambda i: len(self.items[i][1])):
+            held = set(items)
+            segments = [n for n, (i, *_) in enumerate(self.segments) if i in held]
+            lengths = [len(self.items[i][1]) for i in items]
+            searches = [self._search(members) for members in _alike(segments, lambda n: len(self.segments[n][2]))]
+            self.classes.append((*_windows_of(lengths), ItemTriples([self.items[i][1] for i in items]), searches))
+
+    def own(self, item: int) -> np.ndarray:
+        """The item's triples in order."""
+        if item not in self._own:
+            self._own[item] = np.unique(_triples(self.items[item][1]))
+        return self._own[item]
 
     def _search(self, members: list[int]):
         lengths = [len(self.segments[n][2]) for n in members]
-        span = max(n + budget(n) for n in lengths) - 2
-        need = min(n - 2 - 3 * budget(n) for n in lengths)
         shortest = lengths[0]
         # Walks over all of a class are as long as its shortest segment asks; its densest edits count.
         number = repetitions(max(lengths, key=lambda n: budget(n) / n), 2 * shortest)
@@ -264,20 +272,63 @@ class Benchmark:
         for row in keys:
             order = np.argsort(row, kind="stable")
             tables.append((row[order], np.array(members)[order]))
-        return span, need, walks, tables
+        return *_windows_of(lengths), walks, tables
+
+
+def _alike(members: list[int], size) -> list[list[int]]:
+    classes: list[list[int]] = []
+    for n in sorted(members, key=size):
+        if not classes or size(n) > 1.2 * size(classes[-1][0]):
+            classes.append([])
+        classes[-1].append(n)
+    return classes
+
+
+def _windows_of(lengths: list[int]) -> tuple[int, int]:
+    """Within how many starts a window keeps its triples, and how many at least it keeps."""
+    return max(n + budget(n) for n in lengths) - 2, min(n - 2 - 3 * budget(n) for n in lengths)
+
+
+class ItemTriples:
+    """Which items hold which triples, to tell where enough triples of one item stand close together."""
+
+    def __init__(self, items: list[np.ndarray]):
+        self.lengths = np.array([len(ids) for ids in items])
+        self.most = np.array([budget(n) for n in self.lengths])
+        self.own = [np.unique(_triples(ids)) for ids in items]
+        codes, members = np.concatenate(self.own), np.repeat(np.arange(len(items)), [len(o) for o in self.own])
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.members = codes[order], members[order]
+        self.need = self.lengths - 2 - 3 * self.most
+
+    def ranges(self, places: np.ndarray, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ranges of words of a text, with these triples, that windows within the budget of an item may lie in."""
+        distinct, times = np.unique(codes, return_counts=True)
+        left = np.searchsorted(self.codes, distinct, "left")
+        holders = np.searchsorted(self.codes, distinct, "right") - left
+        shared = np.bincount(self.members[ragged(left, holders)], np.repeat(times, holders), len(self.own))
+        for member in np.flatnonzero(shared >= self.need).tolist():
+            own, need, width = self.own[member], int(self.need[member]), int(self.lengths[member] + self.most[member])
+            found = places[own[np.minimum(np.searchsorted(own, codes), len(own) - 1)] == codes]
+            firsts, lasts = found[: len(found) - need + 1], found[need - 1 :]
+            close = lasts - firsts < width - 2
+            # A start may precede its first triple by the triples that edits spoil.
+            yield np.maximum(0, lasts[close] - width + 3), firsts[close] + width
 
 
 def _best_window(item: np.ndarray, text: np.ndarray, starts: list[tuple[int, int]]) -> tuple[int, int]:
     """Least edits, and the first word, of the windows of a text that begin within some ranges, ends included."""
-    most = budget(len(item))
-    found, until = (most + 1, 0), -1
+    most, merged = budget(len(item)), []
     for low, high in sorted(starts):
-        low = max(low, until + 1)
-        if low <= high:
-            edits = least_edits(item, text[low : high + len(item) + most])[: high - low + 1]
-            if len(edits):
-                found = min(found, (int(edits.min()), low + int(edits.argmin())))
-            until = high
+        if merged and low <= merged[-1][1] + len(item) // 4:
+            merged[-1][1] = max(merged[-1][1], high)
+        else:
+            merged.append([low, high])
+    found = (most + 1, 0)
+    for low, high in merged:
+        edits = least_edits(item, text[low : high + len(item) + most])[: high - low + 1]
+        if len(edits):
+            found = min(found, (int(edits.min()), low + int(edits.argmin())))
     return found
 
 
@@ -335,23 +386,36 @@ class Finder:
                 for item in members[left[at] : np.searchsorted(table, runs[at], "right")].tolist():
                     best[(row, item)] = (0, start, start + n)
         wanted: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for span, need, walks, tables in self.benchmark.searches:
+
+        def starts_of(span: int, need: int) -> np.ndarray:
+            """Places that may begin a window which keeps ``need`` known triples, as flags."""
             # `need` known triples in a row of starts end within `span` of the first.
-            if len(places) < need:
-                continue
-            close = places[need - 1 :] - places[: len(places) - need + 1] < span
-            firsts, lasts = places[: len(places) - need + 1][close], places[need - 1 :][close]
-            same = owner[firsts] == owner[lasts]
-            firsts, lasts = firsts[same], lasts[same]
-            if not len(firsts):
-                continue
-            # A start may precede its first known triple by the triples that edits spoil.
-            begin_of = ends[owner[firsts]] - lengths[owner[firsts]]
-            low = np.maximum(begin_of, lasts - span + 1)
             covered = np.zeros(len(flat) + 1, np.int32)
-            np.add.at(covered, low, 1)
-            np.add.at(covered, firsts + 1, -1)
-            starts = np.flatnonzero(np.cumsum(covered[:-1]) > 0)
+            if len(places) >= need:
+                close = places[need - 1 :] - places[: len(places) - need + 1] < span
+                firsts, lasts = places[: len(places) - need + 1][close], places[need - 1 :][close]
+                same = owner[firsts] == owner[lasts]
+                firsts, lasts = firsts[same], lasts[same]
+                # A start may precede its first known triple by the triples that edits spoil.
+                begin_of = ends[owner[firsts]] - lengths[owner[firsts]]
+                np.add.at(covered, np.maximum(begin_of, lasts - span + 1), 1)
+                np.add.at(covered, firsts + 1, -1)
+            return np.cumsum(covered[:-1]) > 0
+
+        searches = []
+        for item_span, item_need, triples, inner in self.benchmark.classes:
+            # Segments are looked for only where one whole item can be.
+            near = np.zeros(len(flat) + 1, np.int32)
+            for row in np.unique(owner[np.flatnonzero(starts_of(item_span, item_need))]).tolist():
+                begin, end = int(ends[row] - lengths[row]), int(ends[row])
+                a, b = np.searchsorted(places, [begin, end]).tolist()
+                for low, high in triples.ranges(places[a:b] - begin, codes[a:b]):
+                    np.add.at(near, begin + low, 1)
+                    np.add.at(near, np.minimum(begin + high, end), -1)
+            inside = np.cumsum(near[:-1]) > 0
+            if inside.any():
+                searches += [(np.flatnonzero(inside & starts_of(span, need)), walks, tables) for span, need, walks, tables in inner]
+        for starts, walks, tables in searches:
             candidates: set[tuple[int, int]] = set()
             for i in range(0, len(starts), 4096):
                 part = starts[i : i + 4096]
@@ -369,8 +433,18 @@ class Finder:
                 slack = most if offset else 0
                 wanted[row, item].append((max(0, begin - slack), max(0, begin + slack)))
         for (row, item), starts in wanted.items():
-            ids, text = self.benchmark.items[item][1], flat[ends[row] - lengths[row] : ends[row]]
-            edits, first = _best_window(ids, text, starts)
+            ids, base = self.benchmark.items[item][1], int(ends[row] - lengths[row])
+            # Windows with too few triples of this very item are beyond its budget.
+            own, most, kept = self.benchmark.own(item), budget(len(ids)), []
+            for low, high in starts:
+                a, b = np.searchsorted(places, (base + low, base + high + len(ids) + most))
+                held = codes[a:b]
+                if (own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held).sum() >= len(ids) - 2 - 3 * most:
+                    kept.append((low, high))
+            if not kept:
+                continue
+            text = flat[base : ends[row]]
+            edits, first = _best_window(ids, text, kept)
             if edits <= budget(len(ids)):
                 best[(row, item)] = (edits, first, first + edit_distance(ids, text[first : first + len(ids) + budget(len(ids))], edits)[1])
         for (row, item), (edits, first, end) in sorted(best.items()):
