@@ -48,3 +48,19 @@ def test_other_tokenizers_are_refused(spark):
     register_tokenizer("letters", encode=lambda text: F.split(text, ""))
     with pytest.raises(ValueError):
         chunk_blocks(text_blocks(spark.createDataFrame([(1, "a")], "n int, text string")), ["n"], ChunkOptions(tokenizer="letters"))
+
+
+def test_a_corpus_with_large_texts_has_the_same_chunks(spark, tmp_path):
+    from chunkwright.plans.chunk_corpus import chunk_corpus
+    from chunkwright.sources.jsonl import read_chunks
+
+    for n, text in _texts(6)[:30]:
+        path = tmp_path / "in" / f"p{n % 2}" / f"{n}.md"
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    found = []
+    for large in (200, 1 << 30):
+        work = str(tmp_path / f"work{large}")
+        totals = sorted(map(str, chunk_corpus(spark, str(tmp_path / "in"), work, ChunkOptions(16, 2, 25), "2024-01-01T00:00:00Z", large).collect()))
+        found.append((totals, sorted(map(str, read_chunks(spark, f"{work}/chunks").collect()))))
+    assert found[0] == found[1] and len(found[0][1]) > 100
