@@ -22,9 +22,10 @@ from pyspark.sql import types as T
 from chunkwright.functions.text import BLANK, empty_array
 from chunkwright.functions.tokens import LOSSLESS, TOKEN_PATTERN, get_tokenizer
 from chunkwright.operators.chunking import BREAK_LINE, ChunkOptions, chunk_records, semantic_breaks
-from chunkwright.session import durable
+from chunkwright.session import durable, once
 
 BLOCK_CHARS = 1 << 20
+TASK_BLOCKS = 64
 _RULE_LINE = rf"\A{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z)"
 _DONE = -1
 _FIELDS = [T.StructField(n, T.IntegerType()) for n in ("chunk_index", "token_start", "token_end")] + [T.StructField("text", T.StringType())]
@@ -110,35 +111,40 @@ def _neighbours(blocks: DataFrame, keys: list[str], opt: ChunkOptions) -> DataFr
     # A break at the very end is one of the text only where the text ends; the next block knows its own first line.
     inside = semantic_breaks(F.col("text")) if opt.semantic_breaks else none
     first = F.when((F.col("block") > 0) & F.regexp_like("text", F.lit(rf"\A(?:{BREAK_LINE})")), F.array(F.lit(0)))
+    # The blocks of one text come out of one task: from here on they are dealt over all of them.
+    kept = durable(blocks.select(*keys, "block", "text"), "text-blocks")
+    tasks = max(2 * kept.sparkSession.sparkContext.defaultParallelism, kept.count() // TASK_BLOCKS + 1)
+    dealt = once(kept.repartition(tasks, *keys, "block"), {"_tokens": tokens})
+    lines = F.regexp_replace("text", r"\n\z", "")
     sized = durable(
-        blocks.select(
-            *keys, "block", "text", F.size(tokens).alias("_n"), F.array_join(F.slice(tokens, 1, reach), "").alias("_head"),
+        dealt.select(
+            *keys, "block", "text", F.size("_tokens").alias("_n"), F.array_join(F.slice("_tokens", 1, reach), "").alias("_head"),
             F.concat(F.coalesce(first, none) if opt.semantic_breaks else none, inside).alias("_inside"),
-            F.regexp_like("text", F.lit(_RULE_LINE)).alias("_rule"),
+            F.regexp_like("text", F.lit(_RULE_LINE)).alias("_rule"), F.length("text").alias("_length"),
+            (F.length(lines) - F.length(F.substring_index(lines, "\n", -1))).alias("_last_line"),
         ),
         "blocks",
     )
-    length = F.length("text")
-    # Below the last line of a block the next one may begin with a rule.
-    lines = F.regexp_replace("text", r"\n\z", "")
-    last_line = F.length(lines) - F.length(F.substring_index(lines, "\n", -1))
-    placed = sized.withColumns(
+    # All blocks of a text meet in one task below, but for their texts: heads are as short as a chunk.
+    placed = sized.drop("text").withColumns(
         {"_last": F.lead("block").over(order).isNull(), "_ruled": F.coalesce(F.lead("_rule").over(order), F.lit(False)),
          "_first": (F.sum("_n").over(order) - F.col("_n")).cast("bigint")}
     )
-    ruled = F.when(F.col("_ruled"), F.array(last_line)).otherwise(none) if opt.semantic_breaks else none
-    own = F.concat(F.filter("_inside", lambda b: F.col("_last") | (b < length)), ruled)
-    marked = durable(placed.select(*keys, "block", "text", "_n", "_first", "_last", "_head", own.alias("_breaks")), "marked-blocks")
+    # Below the last line of a block the next one may begin with a rule.
+    ruled = F.when(F.col("_ruled"), F.array("_last_line")).otherwise(none) if opt.semantic_breaks else none
+    own = F.concat(F.filter("_inside", lambda b: F.col("_last") | (b < F.col("_length"))), ruled)
+    marked = durable(placed.select(*keys, "block", "_n", "_first", "_last", "_head", own.alias("_breaks")), "marked-blocks")
     fewest = marked.where(~F.col("_last")).agg(F.min("_n")).first()[0] or reach
     behind = order.rowsBetween(1, -(-reach // max(int(fewest), 1)))
     head = F.struct(
         F.col("_head").alias("text"), F.least("_n", F.lit(reach + 1)).alias("n"),
         F.filter("_breaks", lambda b: b <= F.length("_head")).alias("breaks"),
     )
-    return marked.select(
-        *keys, "block", "text", "_n", "_first", "_last", "_breaks", F.collect_list(head).over(behind).alias("_heads"),
+    beside = marked.select(
+        *keys, "block", "_n", "_first", "_last", "_breaks", F.collect_list(head).over(behind).alias("_heads"),
         F.coalesce(F.bool_or("_last").over(behind), F.lit(False)).alias("_ends_behind"),
     )
+    return durable(sized.select(*keys, "block", "text").repartition(tasks, *keys, "block").join(beside, [*keys, "block"]), "block-neighbours")
 
 
 def chunk_blocks(blocks: DataFrame, keys: list[str], options: ChunkOptions | None = None) -> DataFrame:
@@ -149,7 +155,7 @@ def chunk_blocks(blocks: DataFrame, keys: list[str], options: ChunkOptions | Non
     opt = options or ChunkOptions()
     if get_tokenizer(opt.tokenizer) is not LOSSLESS:
         raise ValueError("blocks need the lossless tokenizer")
-    known = durable(_neighbours(blocks, keys, opt), "block-neighbours")
+    known = _neighbours(blocks, keys, opt)
     reach, entries = opt.max_tokens + opt.tolerance, opt.max_tokens + opt.tolerance - opt.overlap
     own_fields = [f for f in known.schema if f.name in (*keys, "block")]
 
