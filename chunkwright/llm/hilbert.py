@@ -138,12 +138,15 @@ def shard_plan(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 def write_shards(documents: DataFrame, path: str, shards: int = SHARDS, files_per_shard: int = 1) -> None:
     """Write the documents as parquet below ``path/shard=N``, in slot order within each file.
 
-    ``doc_id`` must be unique here, as it ties a document to its place.
+    Every row is written once: rows are numbered when they are first stored, and the number ties a row to
+    its place, so ids may be null or repeated.
     """
-    plan = shard_plan(documents, shards).select("doc_id", "shard", "slot")
+    stored = durable(documents.withColumn("_hb_row", F.monotonically_increasing_id()), "numbered-rows")
+    plan = shard_plan(stored.withColumn("doc_id", F.col("_hb_row")), shards).select(F.col("doc_id").alias("_hb_row"), "shard", "slot")
     per = F.expr(f"slot % {files_per_shard}")
-    placed = documents.join(plan, "doc_id").repartition(shards * files_per_shard, "shard", per)
-    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    clash = [c for c in documents.columns if c in ("shard", "slot")]
+    placed = stored.drop(*clash).join(plan, "_hb_row").repartition(shards * files_per_shard, "shard", per)
+    placed.sortWithinPartitions("shard", "slot").drop("_hb_row", "slot").write.partitionBy("shard").parquet(path)
 
 
 def shard_digests(documents: DataFrame, shards: int = SHARDS) -> DataFrame:

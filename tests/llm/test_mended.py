@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from chunkwright.llm import decontaminate, minhash, secrets
+from chunkwright.llm import decontaminate, hilbert, minhash, secrets
 from chunkwright.llm.labelled import labelled_sample
 from chunkwright.session import checkpoint_root
 
@@ -141,3 +141,21 @@ def test_matches_are_those_of_a_plain_edit_table(spark):
                     wanted[doc, item] = least
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.matches(documents, benchmark).collect()}
     assert got == wanted and len(wanted) >= 3
+
+
+def test_written_shards_keep_every_row_and_skip_files(spark, tmp_path):
+    rows = [(1, "a", "en", "s"), (1, "a", "en", "s"), (None, "b", None, "s"), (None, None, "de", None), (2, "a b c", "en", "t")]
+    odd = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").withColumn("shard", F.lit("old"))
+    hilbert.write_shards(odd, str(tmp_path / "odd"), 3)
+    back = spark.read.parquet(str(tmp_path / "odd")).select("doc_id", "text", "lang", "source").collect()
+    assert sorted(map(str, back)) == sorted(str(r) for r in odd.drop("shard").collect())
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hilbert.write_shards(documents, str(tmp_path / "all"), 20)
+    written = spark.read.parquet(str(tmp_path / "all"))
+    assert written.count() == documents.count()
+    # Readers that ask for one language or source find its rows in few of the files.
+    for column in ("lang", "source"):
+        held = written.groupBy(column).agg(F.countDistinct("shard").alias("files"))
+        assert held.agg(F.avg("files")).first()[0] < 14
+    both = written.groupBy("lang", "source").agg(F.countDistinct("shard").alias("files"), F.count(F.lit(1)).alias("n"))
+    assert both.where("n > 5").agg(F.avg("files")).first()[0] < 8
