@@ -5,7 +5,8 @@ from workload.queries import QUERIES
 
 
 def test_every_workload_query_has_an_oracle():
-    assert set(QUERIES) == set(oracles.build())
+    # Merging byte pairs is beyond SQL: these two are held against the library in test_vocabulary.py.
+    assert set(QUERIES) - {"vocabulary_tokens", "chunks_of_vocabulary_tokens"} == set(oracles.build())
     assert set(QUERIES) <= set(contract.queries())
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert len(CHECK_NAMES) == 12
