@@ -6,7 +6,8 @@ at once; only the lists of pairs beside a merge change.
 
 Null and empty texts have no ids and decode to the empty text.  Repeated rows and null
 ``doc_id`` are encoded like any other row.  Other columns are ignored by the digests and
-kept by ``encode`` and ``decode``, which name their result column.
+kept by ``encode`` and ``decode``, which name their result column.  An empty table gives an empty one; a very long
+text is encoded whole, each of its distinct pretokens once.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ Lines end at ``\\n`` and compare exactly.  Windows of blank lines only do not co
 fewer than three lines, empty and null texts stay as they are.  Rows that share a ``doc_id``
 are told apart by a hash of their text; of equal rows one, whichever it is, stands before the
 others, which so hold nothing but later occurrences.  Null ``doc_id`` sorts first.  All other columns are ignored by ``line_decisions`` and
-kept by ``remove_repeated_lines``.
+kept by ``remove_repeated_lines``.  An empty table gives an empty one; a very long text is one row of lines.
 """
 
 from __future__ import annotations

@@ -9,6 +9,8 @@ divided by the size of their class in the sample, so that the rarer class is hea
 
 Null and empty texts, and all texts when there are no labels, get the share of label 1 in the
 sample (0.5 without labels).  Repeated rows score alike; other columns are ignored.
+Of labelled texts that are equally near those vote that the selection of the nearest happens to keep, so equal texts with different
+labels may vote either way.  Very long texts are weighed whole; an empty ``documents`` gives no rows.
 """
 
 from __future__ import annotations

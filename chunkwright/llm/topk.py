@@ -1,6 +1,6 @@
 """Exact top-k search by inner product: a ball tree per shard, searched by branch and bound.
 
-Vectors are spread over shards; each shard is a ball tree, written once.  Queries are searched
+Vectors are spread over shards, whose points are written once; a task makes a ball tree of them.  Queries are searched
 in blocks of at most ``QUERY_BLOCK`` vectors, which bounds what is broadcast.  In a tree, nodes
 come in the order of their upper bound ``q . centre + |q| * radius``; a node is left out when its
 bound is below the query's current k-th score.  The shards of a first wave find a k-th score for
@@ -11,7 +11,7 @@ is checked.  Vectors that are null, empty, or hold null or non-finite components
 nor do rows with a null id; vectors are compared with queries of equal length only, so each
 length has trees of its own.  Rows that share a ``vec_id`` are searched each; a query is its id
 with one vector (the smallest), and all rows of its id are left out.  Ties go to the smaller id.
-Equal vectors fill leaves like any others.
+Equal vectors fill leaves like any others.  An empty table gives an empty result, other columns are ignored.
 """
 
 from __future__ import annotations

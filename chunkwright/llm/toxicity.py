@@ -10,6 +10,8 @@ A token is a lower-cased word without surrounding punctuation; it also counts un
 five letters, so that unseen forms of a stem are known.  Tokens are hashed into ``BUCKETS``
 buckets, which bounds the model.  Null and empty texts have no tokens and get the base score.
 Repeated rows score alike.  ``labels`` may be empty: then every score is 0.
+Ties cannot arise: a score depends on the text alone.  Very long texts are scanned whole, in linear time; an empty
+``documents`` gives no rows, and other columns are ignored.
 """
 
 from __future__ import annotations
