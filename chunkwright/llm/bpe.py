@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkwright.llm.pretokens import PieceEncoder, read_vocabulary, special_tokens
-from chunkwright.llm.shared import keyed_texts
+from chunkwright.llm.shared import keyed_texts, text_parts
+
+# Bytes of text worked on at once; bounds a task's memory.
+STEP_BYTES = 2 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -132,7 +135,7 @@ def encode(documents: DataFrame, vocabulary_path: str, text: str = "text", into:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Bpe(vocabulary).encoder()
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_parts(whole, text, STEP_BYTES)):
             flat, counts = encoder.encode(t or "" for t in batch.column(text).to_pylist())
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
             columns = [batch.column(f.name) for f in schema if f.name != into]
@@ -171,7 +174,7 @@ def round_trip(documents: DataFrame, vocabulary_path: str, with_ids: bool = Fals
         bpe = Bpe(vocabulary)
         encoder = bpe.encoder()
         decimal = [str(i) for i in range(len(bpe.token_bytes))]
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_parts(whole, "text", STEP_BYTES)):
             flat, counts = encoder.encode(batch.column("text").to_pylist())
             ends = np.cumsum(counts).tolist()
             hashed, decoded, begin = [], [], 0

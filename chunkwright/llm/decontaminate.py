@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkwright.llm.mph import mix
-from chunkwright.llm.shared import keyed_texts, ragged
+from chunkwright.llm.shared import keyed_texts, ragged, text_parts
 
 EDIT_SHARE = 0.2
 MIN_WORDS = 6
@@ -49,6 +49,8 @@ SAMPLED = 3
 RECALL = 0.99
 ITEM_BLOCK = 20_000
 ITEM_BYTES = 16 << 20
+# Bytes of text worked on at once; bounds a task's memory.
+STEP_BYTES = 2 << 20
 LEAST_REPETITIONS, MAX_REPETITIONS = 12, 160
 REMEMBERED = 600_000
 UNSPLIT = -2  # stands for a word that holds several
@@ -483,7 +485,7 @@ def matches(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared, name = documents.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in text_parts(whole, "text", STEP_BYTES)):
                 finder = _finder(shared, name)
                 found = list(finder(batch.column("text").to_pylist()))
                 ids = batch.column("doc_id").to_pylist()
@@ -506,7 +508,7 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         shared, name = documents.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, name=name) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (part for whole in batches for part in text_parts(whole, "text", STEP_BYTES)):
                 finder = _finder(shared, name)
                 clean = np.ones(batch.num_rows, bool)
                 clean[[f[0] for f in finder([t or "" for t in batch.column("text").to_pylist()])]] = False

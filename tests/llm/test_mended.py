@@ -4,11 +4,13 @@ import random
 import uuid
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
-from chunkwright.llm import decontaminate, hilbert, minhash, secrets
+from chunkwright.llm import bpe, decontaminate, hilbert, minhash, secrets
 from chunkwright.llm.labelled import labelled_sample
 from chunkwright.session import checkpoint_root
 
@@ -159,3 +161,23 @@ def test_written_shards_keep_every_row_and_skip_files(spark, tmp_path):
         assert held.agg(F.avg("files")).first()[0] < 14
     both = written.groupBy("lang", "source").agg(F.countDistinct("shard").alias("files"), F.count(F.lit(1)).alias("n"))
     assert both.where("n > 5").agg(F.avg("files")).first()[0] < 8
+
+
+class _Tasks:
+    """Stands for a table and hands out the function of its tasks."""
+
+    def select(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_texts_of_a_batch_are_encoded_in_bounded_parts(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(("one", "two", "three", "résumé", "x1"), k=4000)) for _ in range(500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    run = bpe.round_trip(_Tasks(), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    parts, single = list(run(iter([batch]))), list(run(batch.slice(n, 1) for n in range(len(texts))))
+    assert len(parts) > 1 and max(p.num_rows for p in parts) * 4000 * 4 < 2 * bpe.STEP_BYTES
+    assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(single).to_pylist()
