@@ -181,3 +181,39 @@ def test_texts_of_a_batch_are_encoded_in_bounded_parts(spark):
     parts, single = list(run(iter([batch]))), list(run(batch.slice(n, 1) for n in range(len(texts))))
     assert len(parts) > 1 and max(p.num_rows for p in parts) * 4000 * 4 < 2 * bpe.STEP_BYTES
     assert pa.Table.from_batches(parts).to_pylist() == pa.Table.from_batches(single).to_pylist()
+
+
+def test_a_family_without_its_original_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Copies with one to six edits of a text that is not there; few pairs are looked at, and no link is lost."""
+    rng = random.Random(9)
+    original, copies = [f"w{i}" for i in range(150)], []
+    for n in range(700):
+        words = list(original)
+        for at in rng.sample(range(150), 1 + n % 6):
+            words[at] = f"x{rng.randrange(500)}"
+        copies.append(words)
+    rows = [(n, " ".join(words)) for n, words in enumerate(copies)]
+    counts, known = [], minhash.cross_pairs
+
+    def counted(sets):
+        pairs = known(sets)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(minhash, "cross_pairs", counted)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)).collect()
+    sets = [{tuple(words[i : i + 5]) for i in range(146)} for words in copies]
+    least = list(range(700))
+
+    def root(n):
+        while least[n] != n:
+            n = least[n]
+        return n
+
+    for a in range(700):
+        for b in range(a):
+            same = len(sets[a] & sets[b])
+            if 100 * same >= 75 * (len(sets[a]) + len(sets[b]) - same) and root(a) != root(b):
+                least[max(root(a), root(b))] = min(root(a), root(b))
+    assert {r.doc_id: r.component_id for r in found} == {n: root(n) for n in range(700)}
+    assert sum(counts) < 10 * len(rows)
