@@ -38,9 +38,9 @@ def _byte_of() -> dict[str, int]:
 class Encoded:
     """The tokens of one text."""
 
-    def __init__(self, vocabulary: "Vocabulary", text: str):
+    def __init__(self, vocabulary: "Vocabulary", text: str, ids: np.ndarray | None = None):
         self.vocabulary, self.text, self.raw = vocabulary, text, text.encode("utf-8")
-        self.ids = vocabulary.ids(text)
+        self.ids = vocabulary.ids(text) if ids is None else ids
         self.byte_ends = np.cumsum(vocabulary.lengths[self.ids])
         if (int(self.byte_ends[-1]) if len(self.ids) else 0) != len(self.raw):
             raise ValueError("tokens do not rejoin to the text")
@@ -139,6 +139,16 @@ def _vocabulary(source: str) -> Vocabulary:
     return Vocabulary(source)
 
 
+def _values(array: pa.Array) -> Iterator:
+    """The values of an Arrow array, lists of numbers as views of their memory."""
+    if not pa.types.is_list(array.type):
+        yield from array.to_pylist()
+        return
+    flat, offsets, known = array.values.to_numpy(zero_copy_only=False), array.offsets.to_pylist(), array.is_valid().to_pylist()
+    for begin, end, there in zip(offsets, offsets[1:], known):
+        yield flat[begin:end] if there else None
+
+
 @dataclass(frozen=True)
 class VocabularyTokenizer:
     """Column functions of the vocabulary of one file, which the driver reads and the tasks get with the job."""
@@ -151,7 +161,7 @@ class VocabularyTokenizer:
 
         def run(*arrays: pa.Array) -> pa.Array:
             vocabulary = _vocabulary(source)
-            rows = zip(*(a.to_pylist() for a in arrays))
+            rows = zip(*(_values(a) for a in arrays))
             return pa.array([None if row[0] is None else compute(vocabulary, *row) for row in rows], type_of)
 
         type_of = _ARROW[returns]
@@ -159,26 +169,26 @@ class VocabularyTokenizer:
 
     def encode(self, text: Column) -> Column:
         """Text to ``ARRAY<INT>`` token ids."""
-        return self._function("array<int>", lambda v, t: v.ids(t).tolist() if t else [])(text)
+        return self._function("array<int>", lambda v, t: v.ids(t).astype(np.int32) if t else [])(text)
 
     def count(self, text: Column) -> Column:
         return self._function("int", lambda v, t: len(v.ids(t)) if t else 0)(text)
 
     def decode(self, ids: Column) -> Column:
         """Token ids, of which any slice may be given, to text."""
-        return self._function("string", lambda v, ids: b"".join(v.bytes[i] for i in ids).decode("utf-8", "replace"))(ids)
+        return self._function("string", lambda v, ids: b"".join(map(v.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace"))(ids)
 
-    def token_ends(self, text: Column) -> Column:
-        """Characters begun up to the end of each token, as ``ARRAY<INT>``."""
+    def token_ends(self, text: Column, ids: Column | None = None) -> Column:
+        """Characters begun up to the end of each token, as ``ARRAY<INT>``; ``ids`` are those of the text, if at hand."""
 
-        def ends(vocabulary: Vocabulary, text: str) -> list[int]:
+        def ends(vocabulary: Vocabulary, text: str, ids: np.ndarray | None = None) -> np.ndarray | list[int]:
             if not text:
                 return []
-            tokens = Encoded(vocabulary, text)
+            tokens = Encoded(vocabulary, text, ids)
             tokens.measure()
-            return tokens.char_ends[1:].tolist()
+            return tokens.char_ends[1:].astype(np.int32)
 
-        return self._function("array<int>", ends)(text)
+        return self._function("array<int>", ends)(*([text] if ids is None else [text, ids]))
 
     def chunk_rows(self, df: DataFrame, text: str, breaks: str, size: int, overlap: int, tolerance: int) -> DataFrame:
         """One row per chunk: the other columns, ``chunk_index, total_chunks, token_start, token_end`` and the chunk's ``text``."""

@@ -106,3 +106,14 @@ def test_metadata_names_the_tokenizer_and_bad_names_fail(spark, tmp_path):
     for name in ("vocabulary:", "vocabulary:path=x", f"vocabulary:file={tmp_path}/lower.json", "gpt2"):
         with pytest.raises(ValueError):
             get_tokenizer(name)
+
+
+def test_ends_of_known_ids_need_no_second_encoding(spark):
+    from workload.queries import QUERIES
+
+    tokenizer = get_tokenizer(NAME)
+    ids, text = tokenizer.encode(F.col("text")), F.col("text")
+    both = spark.createDataFrame([(t,) for t in ODD], "text string").select("text", ids.alias("ids"), tokenizer.token_ends(text).alias("ends"))
+    assert both.where(~tokenizer.token_ends(text, F.col("ids")).eqNullSafe(F.col("ends"))).count() == 0
+    plan = QUERIES["vocabulary_tokens"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("run(text#") == 2 and "run(run(" not in plan  # encode, and the ends of its ids

@@ -11,7 +11,7 @@ from chunkwright.functions import ids, jsonfix, jsonscan, tokens
 from chunkwright.operators import audit, blocks, checks, chunking, completion, outcomes, packing, permutation, prompts, replies, requests, schedule
 from chunkwright.operators.validation import file_errors as errors_of_lines, file_report as report_of_files, validate, validate_json
 from chunkwright.schemas import CHUNK_DDL
-from chunkwright.session import durable
+from chunkwright.session import durable, once
 from chunkwright.sources import jsonl, markdown
 from chunkwright.sources.shards import write_named_lines
 from chunkwright.streaming import progress
@@ -139,7 +139,10 @@ def _vocabulary() -> str:
 def vocabulary_tokens(spark, sf_dir):
     """Numbers of vocabulary tokens, whether they decode to their text, and their ends in characters as a digest."""
     tokenizer = tokens.get_tokenizer(_vocabulary())
-    docs = fx.documents(spark, sf_dir).select("doc_id", "text", tokenizer.encode(F.col("text")).alias("ids"), tokenizer.token_ends(F.col("text")).alias("ends"))
+    encoded = fx.documents(spark, sf_dir).select("doc_id", "text", tokenizer.encode(F.col("text")).alias("ids"))
+    # A function of another's result would run that one anew; not so across `once`.
+    encoded = once(encoded, {"ids": F.col("ids")})
+    docs = encoded.select("*", tokenizer.token_ends(F.col("text"), F.col("ids")).alias("ends"))
     return docs.select(
         "doc_id", F.size("ids").alias("tokens"), (tokenizer.decode(F.col("ids")) == F.col("text")).alias("same"),
         F.sha2(F.array_join(F.col("ends").cast("array<string>"), ","), 256).alias("ends_sha256"),
