@@ -32,8 +32,8 @@ _IN_STRING = r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+'
 # Readers want a character after the digits of an escape.
 _SOUND = _IN_STRING.replace("{4})", r"{4}(?!\z))")
 _NUMBER = r"-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?(?:[eE][-+]?[0-9]++)?"
-# Anything else is a token of one character; a quote alone begins a faulty string.
-_TOKEN = rf'[ \t\n\r]++|"{_IN_STRING}"|{_NUMBER}|true|false|null|(?s:.)'
+# Tokens from the begin on, as far as each can stand in JSON at all.
+_TOKEN = rf'\G(?:[ \t\n\r]++|"{_IN_STRING}"|{_NUMBER}|true|false|null|[{{}}\[\],:])'
 
 # What may come next: a value; a value or the end of an array; a name or the end of an object; a name; a colon;
 # a comma or the end of what is open; nothing; a value after a comma.
@@ -145,7 +145,11 @@ def json_fault(text: Column) -> Column:
         ))
 
     def scanned(source: Column) -> Column:
-        tokens = F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0))
+        tokens = let(F.regexp_extract_all(source, F.lit(_TOKEN), F.lit(0)), lambda sound: let(
+            # The character that no token begins with is a fault wherever it stands; a quote begins a faulty string.
+            source.substr(F.length(F.array_join(sound, "")) + 1, F.lit(1)),
+            lambda odd: F.when(odd == "", sound).otherwise(F.concat(sound, F.array(odd))),
+        ))
         mark = F.struct(F.lit(0).alias("at"), F.lit(BYTE_ORDER_MARK).alias("why"))
         return F.when(F.startswith(source, F.lit("\ufeff")), located(source, mark)).otherwise(
             let(_first_fault(tokens), lambda found: located(source, found))

@@ -75,3 +75,12 @@ def test_long_texts_take_linear_time(spark):
     assert size > 600_000 and long < 30 * max(short, 0.2)
     whole = '"' + "x\\n" * 300_000
     assert faults(spark, [whole + '"', whole, whole + "\t"]) == [None, ("Unterminated string starting at", 1, 1), ("Invalid control character at", 1, 900_002)]
+
+
+def test_nothing_behind_the_first_odd_character_is_scanned(spark):
+    from chunkwright.functions import jsonscan
+
+    texts = [("Here: [1, 2]", 0), ('[1, "a"] `x`', 7), ('["\\q long text"]', 1), ("", 0)]
+    rows = spark.createDataFrame(texts, "text string, n int")
+    found = rows.select("n", F.size(F.regexp_extract_all("text", F.lit(jsonscan._TOKEN), F.lit(0))).alias("size")).collect()
+    assert [r["size"] for r in found] == [r.n for r in found]
