@@ -25,7 +25,8 @@ from chunkwright.operators.chunking import BREAK_LINE, ChunkOptions, chunk_recor
 from chunkwright.session import durable, once
 
 BLOCK_CHARS = 1 << 20
-TASK_BLOCKS = 64
+# Characters and blocks per task: blocks may be short.
+TASK_CHARS, TASK_BLOCKS = 16 << 20, 20_000
 _RULE_LINE = rf"\A{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z)"
 _DONE = -1
 _FIELDS = [T.StructField(n, T.IntegerType()) for n in ("chunk_index", "token_start", "token_end")] + [T.StructField("text", T.StringType())]
@@ -42,17 +43,35 @@ def text_blocks(documents: DataFrame, block_chars: int = BLOCK_CHARS, text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(f.name) for f in kept]
+            rows, numbers, parts, held = [], [], [], 0
+
+            def made() -> pa.RecordBatch:
+                taken = [c.take(pa.array(rows, pa.int32())) for c in columns]
+                return pa.RecordBatch.from_arrays([*taken, pa.array(numbers, pa.int32()), pa.array(parts, pa.string())], schema.names)
+
             for n, whole in enumerate(batch.column(text)):
                 whole, at, number = whole.as_py() or "", 0, 0
                 while at < len(whole):
                     end = whole.find("\n", at + block_chars - 1) + 1 or len(whole)
-                    row = [*(c.slice(n, 1) for c in columns), pa.array([number], pa.int32()), pa.array([whole[at:end]], pa.string())]
-                    yield pa.RecordBatch.from_arrays(row, schema.names)
+                    rows.append(n)
+                    numbers.append(number)
+                    parts.append(whole[at:end])
+                    held += end - at
                     at, number = end, number + 1
+                    if held >= BLOCK_CHARS:
+                        yield made()
+                        rows, numbers, parts, held = [], [], [], 0
+            if rows:
+                yield made()
 
     return documents.mapInArrow(run, schema)
 
 
+def block_tasks(blocks: int, chars: int, cores: int) -> int:
+    """Tasks for so many blocks: bounded by what they hold, so that short blocks do not make many tasks."""
+    return int(max(2 * cores, chars // TASK_CHARS + 1, blocks // TASK_BLOCKS + 1))
+
+
 class _Tokens:
     """Ends of tokens in characters, and breaks as numbers of tokens before them, of a block and the heads behind it."""
 
@@ -113,7 +132,8 @@ def _neighbours(blocks: DataFrame, keys: list[str], opt: ChunkOptions) -> DataFr
     first = F.when((F.col("block") > 0) & F.regexp_like("text", F.lit(rf"\A(?:{BREAK_LINE})")), F.array(F.lit(0)))
     # The blocks of one text come out of one task: from here on they are dealt over all of them.
     kept = durable(blocks.select(*keys, "block", "text"), "text-blocks")
-    tasks = max(2 * kept.sparkSession.sparkContext.defaultParallelism, kept.count() // TASK_BLOCKS + 1)
+    size = kept.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.length("text")).alias("chars")).first()
+    tasks = block_tasks(size.blocks, size.chars or 0, kept.sparkSession.sparkContext.defaultParallelism)
     dealt = once(kept.repartition(tasks, *keys, "block"), {"_tokens": tokens})
     lines = F.regexp_replace("text", r"\n\z", "")
     sized = durable(
@@ -161,7 +181,8 @@ def chunk_blocks(blocks: DataFrame, keys: list[str], options: ChunkOptions | Non
 
     def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_function(_Tokens(row, reach), row["_n"], entries, opt) for row in batch.to_pylist()]
+            # A text is entered at its begin alone.
+            found = [_function(_Tokens(row, reach), row["_n"], entries if row["block"] else 1, opt) for row in batch.to_pylist()]
             arrays = [pa.array([f[i].tolist() for f in found], pa.list_(pa.int32())) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in own_fields), *arrays], [*(f.name for f in own_fields), "_to", "_count"])
 

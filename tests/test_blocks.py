@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from chunkwright.operators.blocks import chunk_blocks, text_blocks
+from chunkwright.operators.blocks import block_tasks, chunk_blocks, text_blocks
 from chunkwright.operators.chunking import ChunkOptions, chunk_spans
 
 LINES = ["# head", "", "   ", "===", "---", " == ", "- item", "plain words here", "a b c d e f g h i j k l m n o p", "=== x", "é 漢字 \U0001f642", "x", "\t#tab", "----------"]
@@ -64,3 +64,16 @@ def test_a_corpus_with_large_texts_has_the_same_chunks(spark, tmp_path):
         totals = sorted(map(str, chunk_corpus(spark, str(tmp_path / "in"), work, ChunkOptions(16, 2, 25), "2024-01-01T00:00:00Z", large).collect()))
         found.append((totals, sorted(map(str, read_chunks(spark, f"{work}/chunks").collect()))))
     assert found[0] == found[1] and len(found[0][1]) > 100
+
+
+def test_short_blocks_share_tasks():
+    # 0.1 GB in blocks of 1,500 characters: one task for every 64 of them made 1,784 tasks.
+    assert block_tasks(114_000, 170_000_000, 8) == 16
+    assert block_tasks(2, 40 << 30, 8) == 2561 and block_tasks(10_000_000, 1, 8) == 501 and block_tasks(0, 0, 4) == 8
+
+
+def test_blocks_travel_in_batches(spark):
+    df = spark.createDataFrame([(1, "a\n" * 500), (2, ""), (3, None), (4, "b")], "n int, text string").coalesce(1)
+    sizes = text_blocks(df, 2).mapInArrow(lambda batches: batches, "n int, block int, text string")
+    rows = [(r.n, r.block, r.text) for r in sizes.collect()]
+    assert rows == [(1, i, "a\n") for i in range(500)] + [(4, 0, "b")]
