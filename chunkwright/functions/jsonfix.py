@@ -14,6 +14,8 @@ from chunkwright.functions.text import SPACE, let, strip
 FENCE = "```"
 JSON_FENCE = "```json"
 _ESCAPE = r'["\\/bfnrt]|u[0-9a-fA-F]{4}'
+# What stands behind the text in the array that `parse_strict` makes of it.
+_MARK = "end-of-text"
 
 
 def extract_fenced(reply: Column) -> Column:
@@ -25,8 +27,8 @@ def extract_fenced(reply: Column) -> Column:
 
     return let(
         strip(reply),
-        lambda text: F.when(F.instr(text, JSON_FENCE) > 0, inside(text, JSON_FENCE))
-        .when(F.instr(text, FENCE) > 0, inside(text, FENCE))
+        lambda text: F.when(F.contains(text, F.lit(JSON_FENCE)), inside(text, JSON_FENCE))
+        .when(F.contains(text, F.lit(FENCE)), inside(text, FENCE))
         .otherwise(text),
     )
 
@@ -48,12 +50,29 @@ def drop_trailing_commas(text: Column) -> Column:
 def parse_strict(text: Column) -> Column:
     """The one JSON value that makes up the whole text as VARIANT, else NULL.
 
-    The parser ignores what follows a complete value.  Wrapped once in brackets and
-    once in braces, only a text that is exactly one value parses both ways.
+    The parser ignores what follows a complete value.  In an array with a mark behind it, only a text that is
+    exactly one value leaves the mark in second place.  A text that could hold the mark itself is parsed
+    twice instead, wrapped once in brackets and once in braces.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    return F.when(named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+    def marked(text: Column) -> Column:
+        listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_MARK}"]')))
+        return let(
+            listed,
+            lambda v: F.when(F.try_variant_get(v, "$[1]", "string") == _MARK, F.try_variant_get(v, "$[0]", "variant")),
+        )
+
+    def wrapped(text: Column) -> Column:
+        listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+        named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+        return F.when(named.isNotNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+    def parsed(text: Column) -> Column:
+        # A string may spell letters as \u escapes.
+        unsure = F.contains(text, F.lit(_MARK)) | F.contains(text, F.lit("\\u"))
+        return F.when(unsure, wrapped(text)).otherwise(marked(text))
+
+    return let(text, parsed)
 
 
 def parse_reply(reply: Column, sanitize: bool = True, extract: bool = True) -> Column:

@@ -17,14 +17,17 @@ from chunkwright.session import once
 ITEM_FIELDS = ["id", "system_prompt", "metadata", "messages", "problem", "solution", "created_at"]
 
 
-def check_columns(schema_valid: Column) -> dict[str, Column]:
-    """The twelve checks by name, in report order, over the columns of an item row."""
+def tag_positions() -> dict[str, Column]:
+    """Where the four tags stand in ``solution``, from 1; 0 for a tag that it lacks."""
     solution = F.coalesce(F.col("solution"), F.lit(""))
+    tags = {"_tb": THOUGHT_BEGIN, "_te": THOUGHT_END, "_sb": SOLUTION_BEGIN, "_se": SOLUTION_END}
+    # `instr` compares at every character, so texts without the tag are told by a faster search first.
+    return {n: F.when(F.contains(solution, F.lit(tag)), F.instr(solution, tag)).otherwise(0) for n, tag in tags.items()}
 
-    def at(tag: str) -> Column:
-        return F.instr(solution, tag)
 
-    tb, te, sb, se = (at(t) for t in (THOUGHT_BEGIN, THOUGHT_END, SOLUTION_BEGIN, SOLUTION_END))
+def check_columns(schema_valid: Column, positions: Mapping[str, Column] | None = None) -> dict[str, Column]:
+    """The twelve checks by name, in report order, over the columns of an item row."""
+    tb, te, sb, se = (positions or tag_positions()).values()
 
     def nested(begin: Column, end: Column) -> Column:
         return F.when((begin > 0) & (end > 0), begin < end).otherwise((begin > 0) == (end > 0))
@@ -57,14 +60,16 @@ def local_checks(
     All checks run unless ``checks`` selects some; ``extra_checks`` adds named boolean
     columns of your own.
     """
-    known = check_columns(F.col("_schema_valid"))
+    at = tag_positions()
+    known = check_columns(F.col("_schema_valid"), {name: F.col(name) for name in at})
     unknown = set(checks or ()) - set(known)
     if unknown:
         raise ValueError(f"unknown checks: {sorted(unknown)}")
     chosen = {name: c for name, c in known.items() if checks is None or name in checks}
     chosen.update(extra_checks or {})
-    tested = items.withColumn("_schema_valid", record_valid("item", items.select(*ITEM_FIELDS).schema))
-    judged = once(tested, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])}).drop("_schema_valid")
+    valid = record_valid("item", items.select(*ITEM_FIELDS).schema)
+    tested = once(items, {"_schema_valid": valid, **at})
+    judged = once(tested, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])}).drop("_schema_valid", *at)
     failed = F.array(*[F.when(~F.col(f"checks.{name}"), F.lit(name)) for name in chosen])
     return judged.withColumn("errors", F.array_except(failed, F.array(F.lit(None).cast("string"))))
 

@@ -10,9 +10,11 @@ from chunkwright.functions.jsonfix import (
     extract_fenced,
     json_problem,
     parse_reply,
+    parse_strict,
     repair_escapes,
 )
 from chunkwright.operators.replies import build_items, failed_replies, parse_replies, reply_elements, stage_stats
+from chunkwright.session import once
 
 
 def run(spark, texts, **cols):
@@ -231,3 +233,24 @@ def test_items_carry_chunk_metadata(spark):
         "file_path": "d/1.md", "file_name": "1.md", "chunk_index": 1, "chunk_id": f"sha256:{1:064x}",
     }
     assert [tuple(m) for m in row.messages] == [("user", "p"), ("assistant", "s")]
+
+
+def test_one_value_makes_up_the_whole_text_whatever_it_holds(spark):
+    """The mark behind a text is no value of its own, spelled out or as escapes."""
+    texts = {
+        '[1, {"a": null}]': True, " 7 ": True, '"end-of-text"': True, '["x", "end-of-text"]': True, "null": True, '"\\u00e9"': True,
+        "1, 2": False, '1, "end-of-text"': False, '1, "end-of-text"] x [': False, '1, "\\u0065nd-of-text"] x [': False, "1], [2": False,
+        '{"a": 1}] [': False, '1, "b": 2': False, '1} x': False, "": False, " ": False, "1 x": False, '"end-of-text"] [': False, "[1": False,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.t: r.v for r in df.select("t", parse_strict(F.col("t")).isNotNull().alias("v")).collect()}
+    assert found == texts
+
+
+def test_expressions_run_once_stand_in_a_compiled_projection(spark):
+    df = spark.createDataFrame([("a b",), (None,)], "t string")
+    made = once(df, {"u": F.upper("t"), "n": F.size(F.transform(F.split("t", " "), F.length))})
+    assert sorted(map(tuple, made.collect()), key=str) == [("a b", "A B", 2), (None, None, None)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    generate = next(line for line in plan.splitlines() if "Generate " in line)
+    assert "upper(" in plan and "upper(" not in generate
