@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import os
+import re
+from functools import reduce
+from urllib.parse import quote
+
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwright.functions.jsonfix import parse_strict
 from chunkwright.functions.text import is_blank
 from chunkwright.schemas import CHUNK_DDL
 from chunkwright.operators.validation import validate_json
+from chunkwright.session import durable, once
+from chunkwright.sources.listing import HIDDEN, PACKED, file_system, list_files, read_ranges
+
+# Characters that stand for themselves in the path of a URI.
+_IN_URI = "/_-!.~'()*,;:$&+=@"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
@@ -24,8 +35,9 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True)
         why = F.raise_error(F.concat(F.lit("malformed line in "), "file"))
         return lines.select(F.when(whole, record).otherwise(why).alias("_r")).select("_r.*")
     record = F.from_json("value", f"{schema}, _corrupt_record STRING", {"mode": "PERMISSIVE"})
-    marked = record.withField("_corrupt_record", F.coalesce(record["_corrupt_record"], F.when(~whole, F.col("value"))))
-    return lines.select(marked.alias("_r")).select("_r.*")
+    read = once(lines, {"_r": record, "_whole": whole}).withColumn("_bad", F.when(~F.col("_whole"), F.col("value")))
+    fields = [F.col("_r").getField(f).alias(f) for f in read.schema["_r"].dataType.names if f != "_corrupt_record"]
+    return read.select(*fields, F.coalesce("_r._corrupt_record", "_bad").alias("_corrupt_record"))
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -49,9 +61,43 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, *paths: str) -> DataFrame:
-    """Non-blank lines as ``(file, value)``."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(list(paths))
-    return lines.select(F.col("_metadata.file_path").alias("file"), "value").where(~is_blank(F.col("value")))
+    """Non-blank lines as ``(file, value)``.
+
+    Files of a mounted folder are listed and read by tasks, so that many small ones cost neither the driver a list
+    of them nor a reader each.  Spark reads what else there is: other stores, patterns, single and compressed files.
+    """
+    parts = ((_lines_by_tasks(spark, path), path) for path in paths)
+    lines = [_lines_by_spark(spark, path) if made is None else made for made, path in parts]
+    return reduce(DataFrame.unionByName, lines).where(~is_blank(F.col("value")))
+
+
+def _lines_by_spark(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def _lines_by_tasks(spark: SparkSession, path: str) -> DataFrame | None:
+    """Lines ``(file, value)`` of a mounted folder, or None where Spark's reader is needed."""
+    if re.search(r"[*?{}\[\]\\]", path) or "://" in path and not path.startswith("file:"):
+        return None
+    store, root = file_system(path)
+    root = os.path.abspath(root)
+    if store.get_file_info(root).type != fs.FileType.Directory:
+        return None
+    files = durable(list_files(spark, root).where(~F.col("relpath").rlike(HIDDEN)), "line-files")
+    if not files.where(F.col("relpath").rlike(PACKED)).isEmpty():
+        return None
+    # As a URI, like Spark's own names of files.
+    above = "".join(c if c > "\x7f" else quote(c, safe=_IN_URI) for c in root)
+    name = F.concat(F.lit(f"file:{above}/"), _uri(F.col("relpath")))
+    return read_ranges(files, root).select(name.alias("file"), "value")
+
+
+def _uri(path: Column) -> Column:
+    """A path as in a URI: ASCII characters that may not stand there become percent codes."""
+    odd = {c: quote(c) for c in map(chr, range(128)) if quote(c, safe=_IN_URI) != c}
+    coded = reduce(lambda p, c: F.replace(p, F.lit(c), F.lit(odd[c])), ["%", *sorted(set(odd) - {"%"})], path)
+    return F.when(path.rlike(r"[^\w/.\-=+,:;@~!$&'()*]"), coded).otherwise(path)
 
 
 def count_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,11 @@ SHARED_LEVELS = 2
 # Bytes of contents per task and per batch, and files per task.
 TASK_BYTES, BATCH_BYTES, TASK_FILES = 64 << 20, 8 << 20, 10_000
 _ROWS = 4096
+# Bytes of a file that one task reads lines from at a time.
+RANGE_BYTES = 32 << 20
+# Files that Spark's readers pass over, and those that they decompress, by relative path.
+HIDDEN = r"(^|/)([.]|_[^=/]*(/|$))|[.]_COPYING_(/|$)"
+PACKED = r"(?i)[.](gz|bz2|deflate|snappy|lz4|zst|zstd)$"
 # Tasks get the source with the job, so executors need no installed copy of it.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -130,3 +135,66 @@ def read_files(files: DataFrame, root: str) -> DataFrame:
                     start, held, contents = at + 1, 0, []
 
     return listed.repartition(int(tasks), "relpath").mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in files.schema)}, content binary")
+
+
+def read_ranges(files: DataFrame, root: str) -> DataFrame:
+    """The lines of the files ``relpath, length`` below ``root`` that hold a character: ``(relpath, value)``.
+
+    Long files are read in ranges of bytes by several tasks.  A line belongs to the range it begins in and ends at
+    ``\\n``, ``\\r`` or both.
+    """
+    spark = files.sparkSession
+    starts = F.explode(F.expr(f"sequence(0L, greatest(length - 1, 0L), {RANGE_BYTES}L)"))
+    ranges = durable(files.where("length > 0").select("relpath", "length", starts.alias("start")), "line-ranges")
+    held = F.least("length", F.lit(RANGE_BYTES))
+    total = ranges.agg(F.sum(held).alias("bytes"), F.count(F.lit(1)).alias("ranges")).first()
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(2 * cores, (total.bytes or 0) // TASK_BYTES + 1, total.ranges // TASK_FILES + 1)
+
+    def lines_of(file, start: int) -> list[bytes]:
+        """Lines that begin in the range; the byte before it tells whether one begins at its start."""
+        file.seek(max(start - 1, 0))
+        data = file.read(RANGE_BYTES + (start > 0))
+        full = len(data) == RANGE_BYTES + (start > 0)
+        if not start:
+            data = data.removeprefix(b"\xef\xbb\xbf")
+        parts = data.replace(b"\r", b"\n").split(b"\n")
+        if start:
+            # What stands before the first line end began in an earlier range.
+            parts = parts[1:]
+        # The last line goes on behind the range; one that would begin right behind it is the next range's.
+        tail = []
+        while full and parts and parts[-1]:
+            more = file.read(1 << 16)
+            rest = more.replace(b"\r", b"\n").split(b"\n", 1)
+            tail.append(rest[0])
+            if len(rest) > 1 or not more:
+                break
+        if tail:
+            parts[-1] = b"".join([parts[-1], *tail])
+        return [p for p in parts if p]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = file_system(root)
+        names, values, size = [], [], 0
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.binary())], ["relpath", "value"])
+
+        for batch in batches:
+            for path, start in zip(*(batch.column(c).to_pylist() for c in ("relpath", "start"))):
+                with store.open_input_file(f"{base}/{path}") as file:
+                    found = lines_of(file, start)
+                for value in found:
+                    names.append(path)
+                    values.append(value)
+                    size += len(value)
+                    if size >= BATCH_BYTES:
+                        yield made()
+                        names, values, size = [], [], 0
+        if names:
+            yield made()
+
+    dealt = ranges.select("relpath", "start").repartition(int(tasks), "relpath", "start")
+    # Bytes become text as they are, as with Spark's own reader.
+    return dealt.mapInArrow(run, "relpath string, value binary").select("relpath", F.col("value").cast("string").alias("value"))

@@ -1,11 +1,12 @@
 """Listing and reading of file trees, and a sink whose files tasks move into place."""
 
+import gzip
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from chunkwright.sources import listing, shards
+from chunkwright.sources import jsonl, listing, shards
 from chunkwright.sources.markdown import discover_projects, find_files
 from chunkwright.sources.shards import MARKER, STAGED, NamedLinesWriter, Written, finish_writes, write_named_lines
 
@@ -104,3 +105,34 @@ def test_an_interrupted_write_is_ended_by_the_next_one(spark, tmp_path, monkeypa
 def test_the_marker_names_folders_only(tmp_path):
     writer = _staged_write(tmp_path, ["a.json"])
     assert json.loads((tmp_path / writer.staging / MARKER).read_text()) == {"folders": ["won"], "replace": ["shards"]}
+
+
+LINES = {
+    "a/plain.jsonl": b'{"n": 1}\n{"n": 2}\n', "a/no end.jsonl": b"x\ny", "b/c/crlf é%#.txt": b"one\r\ntwo\rthree\n\n \t\nfour\r\n", "b/bom": b"\xef\xbb\xbffirst\nsecond",
+    "b/long": b"ab" * 5000 + b"\n" + b"c" * 17 + b"\r\n" + b"d" * 40, "b/bytes": b"\xff\xfe\xc3\x28\nok\n", "run=1/x": b"in a run\n", "_k=v/x": b"kept\n", "_metadata": b"kept\n",
+    "empty": b"", "ends": b"\n\n\r", "_hidden/x": b"no\n", "d/_x": b"no\n", ".dot": b"no\n", "d/.dot/x": b"no\n", "y._COPYING_": b"no\n",
+}
+
+
+@pytest.mark.parametrize("size", [4, 7, 16, 17, 1 << 20])
+def test_lines_read_by_tasks_are_those_of_sparks_reader(spark, tmp_path, monkeypatch, size):
+    root = tmp_path / "li nes"
+    for name, content in LINES.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    monkeypatch.setattr(listing, "RANGE_BYTES", size)
+    made = jsonl.read_lines(spark, f"file:{root}/")
+    assert "Scan text" not in made._jdf.queryExecution().executedPlan().toString()
+    shape = ["file", F.hex(F.encode("value", "utf-8")).alias("value"), F.hex(F.col("value").cast("binary")).alias("bytes")]
+    want = jsonl._lines_by_spark(spark, str(root)).where("trim(value) <> '' AND value <> ' \t'").select(*shape).collect()
+    assert sorted(map(tuple, made.select(*shape).collect())) == sorted(map(tuple, want)) and len(want) == 17
+
+
+def test_lines_of_files_that_tasks_do_not_read(spark, tmp_path):
+    (tmp_path / "z").mkdir()
+    (tmp_path / "z" / "a.jsonl.gz").write_bytes(gzip.compress(b"one\n\ntwo\n"))
+    (tmp_path / "z" / "b.jsonl").write_bytes(b"three\n")
+    for path in (tmp_path / "z", tmp_path / "*"):
+        assert sorted(r.value for r in jsonl.read_lines(spark, str(path)).collect()) == ["one", "three", "two"]
+    both = jsonl.read_lines(spark, str(tmp_path / "z" / "b.jsonl"), str(tmp_path))
+    assert sorted(r.value for r in both.collect()) == ["one", "three", "three", "two"]
