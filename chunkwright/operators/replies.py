@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from chunkwright import schemas
 from chunkwright.functions.ids import stable_uuid
 from chunkwright.functions.jsonfix import extract_fenced, json_problem, parse_reply, repair_escapes
-from chunkwright.functions.text import is_blank
+from chunkwright.functions.text import is_blank, let
 from chunkwright.operators.prompts import GENERATION_SYSTEM
-from chunkwright.session import once
+from chunkwright.session import once, unpacked
 
 
 def parse_replies(replies: DataFrame) -> DataFrame:
@@ -21,13 +21,17 @@ def parse_replies(replies: DataFrame) -> DataFrame:
     ``replies`` has ``content`` and whatever columns identify the chunk.  A value that is
     no array counts as an array of one.  One element that is no object fails the reply.
     """
-    parsed = once(replies, {"_parsed": parse_reply(F.col("content"))})
-    value = F.col("_parsed.value")
-    elements = F.coalesce(
-        F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value))
-    )
-    listed = once(parsed, {"stage": F.col("_parsed.stage"), "elements": elements}).drop("_parsed")
-    no_object = F.exists("elements", lambda e: F.try_variant_get(e, "$", "map<string,variant>").isNull())
+
+    def stage_and_elements(parsed: Column) -> Column:
+        value = parsed["value"]
+        elements = F.coalesce(
+            F.try_variant_get(value, "$", "array<variant>"), F.when(value.isNotNull(), F.array(value))
+        )
+        return F.struct(parsed["stage"].alias("stage"), elements.alias("elements"))
+
+    listed = unpacked(replies.select("*", let(parse_reply(F.col("content")), stage_and_elements).alias("_parsed")), "_parsed")
+    # The name of a value's type is found without a copy of what it holds.
+    no_object = F.exists("elements", lambda e: ~F.coalesce(F.startswith(F.schema_of_variant(e), F.lit("OBJECT")), F.lit(False)))
     return listed.withColumn(
         "failure",
         F.when(F.col("content").isNull() | is_blank(F.col("content")), "empty reply")
@@ -46,12 +50,13 @@ def reply_elements(parsed: DataFrame) -> DataFrame:
     exploded = parsed.where(F.col("failure").isNull()).select(
         *keep, F.posexplode_outer("elements").alias("position", "_e")
     )
-    found = once(
-        exploded, {f"_{n}": F.try_variant_get("_e", f"$.{n}", "variant") for n in ("problem", "solution")}
-    ).where(F.col("_problem").isNotNull() & F.col("_solution").isNotNull())
-    texts = {n: F.try_variant_get(f"_{n}", "$", "string") for n in ("problem", "solution")}
-    kinds = {f"{n}_is_text": F.schema_of_variant(f"_{n}") == "STRING" for n in ("problem", "solution")}
-    return once(found, {**texts, **kinds}).select(*keep, "position", *texts, *kinds)
+    names = ("problem", "solution")
+    texts = {n: F.try_variant_get("_e", f"$.{n}", "string") for n in names}
+    # A key that is absent has no type; that of a null is VOID.
+    types = {f"_{n}_type": F.schema_of_variant(F.try_variant_get("_e", f"$.{n}", "variant")) for n in names}
+    found = once(exploded, {**texts, **types}).where(" AND ".join(f"{t} IS NOT NULL" for t in types))
+    kinds = [(F.col(f"_{n}_type") == "STRING").alias(f"{n}_is_text") for n in names]
+    return found.select(*keep, "position", *names, *kinds)
 
 
 def build_items(

@@ -62,8 +62,12 @@ def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     here: Spark may otherwise prune the column below the generator and lose it above.
     """
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    kept = [c for c in df.columns if c not in columns]
-    return df.select(*kept, row.alias("_once")).select(*kept, F.inline_outer(F.array("_once")))
+    return unpacked(df.select(*[c for c in df.columns if c not in columns], row.alias("_once")), "_once")
+
+
+def unpacked(df: DataFrame, row: str) -> DataFrame:
+    """The fields of a struct column, which is computed exactly once, as columns in its place."""
+    return df.select(*[c for c in df.columns if c != row], F.inline_outer(F.array(row)))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -254,3 +254,20 @@ def test_expressions_run_once_stand_in_a_compiled_projection(spark):
     plan = made._jdf.queryExecution().executedPlan().toString()
     generate = next(line for line in plan.splitlines() if "Generate " in line)
     assert "upper(" in plan and "upper(" not in generate
+
+
+def test_runs_of_backslashes_are_repaired_as_pairs(spark):
+    def by_pairs(text):
+        return re.sub(r'\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})|\\', lambda m: m[0] if len(m[0]) > 1 else "\\\\", text)
+
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(["\\", "\\\\", "n", "q", '"', "u12aF", "u12", ",", "]", " "], k=12)) for _ in range(300)]
+    assert [r["v"] for r in run(spark, texts, v=repair_escapes(F.col("s")))] == [by_pairs(t) for t in texts]
+
+
+def test_replies_and_elements_are_carried_through_one_projection_each(spark):
+    replies = spark.createDataFrame([("c", '[{"problem": null, "solution": "s"}, {"solution": "t"}, {"problem": 7, "solution": {}}]')], "chunk_id string, content string")
+    found = reply_elements(parse_replies(replies))
+    assert [tuple(r) for r in found.orderBy("position").collect()] == [("c", 0, None, "s", False, True), ("c", 2, "7", "{}", False, False)]
+    # One generator for the parse, one for the elements, one for their texts.
+    assert found._jdf.queryExecution().executedPlan().toString().count("Generate ") == 3
