@@ -80,11 +80,15 @@ def _plain_tests(rule: Rule, value: str) -> list[tuple[str, str]]:
     """``(condition that must hold, message)`` for everything but nested values."""
     tests = []
     if rule.min_length is not None:
-        tests.append((f"length({value}) >= {rule.min_length}", f"shorter than {rule.min_length}"))
+        # To count the characters of a text is not needed to see that it has one.
+        enough = f"{value} <> ''" if rule.min_length == 1 else f"length({value}) >= {rule.min_length}"
+        tests.append((enough, f"shorter than {rule.min_length}"))
     if rule.pattern is not None:
         tests.append((f"{value} RLIKE {_quote(rule.pattern)}", f"does not match {rule.pattern}"))
     if rule.allowed is not None:
-        tests.append((f"{value} IN ({', '.join(map(_quote, rule.allowed))})", f"not one of {', '.join(rule.allowed)}"))
+        # Inside a lambda, where expressions are interpreted, IN ends its search by an exception.
+        known = " OR ".join(f"{value} = {_quote(a)}" for a in rule.allowed)
+        tests.append((f"({known})", f"not one of {', '.join(rule.allowed)}"))
     if rule.minimum is not None:
         tests.append((f"{value} >= {rule.minimum}", f"less than the minimum of {rule.minimum}"))
     if rule.min_items is not None:

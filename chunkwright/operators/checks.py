@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,24 +19,33 @@ ITEM_FIELDS = ["id", "system_prompt", "metadata", "messages", "problem", "soluti
 
 
 def tag_positions() -> dict[str, Column]:
-    """Where the four tags stand in ``solution``, from 1; 0 for a tag that it lacks."""
+    """Where the four tags stand in ``solution``, in their order; 0 for a tag that it lacks.
+
+    Places count UTF-16 units from 1.  `instr` would compare at every character; the regex engine skips along.
+    """
     solution = F.coalesce(F.col("solution"), F.lit(""))
     tags = {"_tb": THOUGHT_BEGIN, "_te": THOUGHT_END, "_sb": SOLUTION_BEGIN, "_se": SOLUTION_END}
-    # `instr` compares at every character, so texts without the tag are told by a faster search first.
-    return {n: F.when(F.contains(solution, F.lit(tag)), F.instr(solution, tag)).otherwise(0) for n, tag in tags.items()}
+    return {n: F.regexp_instr(solution, F.lit(re.escape(tag))) for n, tag in tags.items()}
 
 
-def check_columns(schema_valid: Column, positions: Mapping[str, Column] | None = None) -> dict[str, Column]:
+def messages_shape() -> Column:
+    """Whether ``messages`` are one of the user and one of the assistant."""
+    roles = F.transform("messages", lambda m: m["role"])
+    return F.coalesce(roles == F.array(F.lit("user"), F.lit("assistant")), F.lit(False))
+
+
+def check_columns(
+    schema_valid: Column, positions: Mapping[str, Column] | None = None, shape_valid: Column | None = None
+) -> dict[str, Column]:
     """The twelve checks by name, in report order, over the columns of an item row."""
     tb, te, sb, se = (positions or tag_positions()).values()
 
     def nested(begin: Column, end: Column) -> Column:
         return F.when((begin > 0) & (end > 0), begin < end).otherwise((begin > 0) == (end > 0))
 
-    roles = F.transform("messages", lambda m: m["role"])
     values = {
         "json_schema_valid": schema_valid,
-        "messages_shape_valid": F.coalesce(roles == F.array(F.lit("user"), F.lit("assistant")), F.lit(False)),
+        "messages_shape_valid": shape_valid if shape_valid is not None else messages_shape(),
         "has_thought_begin_token": tb > 0,
         "has_thought_end_token": te > 0,
         "thought_tags_properly_paired": (tb > 0) == (te > 0),
@@ -61,15 +71,19 @@ def local_checks(
     columns of your own.
     """
     at = tag_positions()
-    known = check_columns(F.col("_schema_valid"), {name: F.col(name) for name in at})
+    known = check_columns(F.col("_schema_valid"), {name: F.col(name) for name in at}, F.col("_shape_valid"))
     unknown = set(checks or ()) - set(known)
     if unknown:
         raise ValueError(f"unknown checks: {sorted(unknown)}")
     chosen = {name: c for name, c in known.items() if checks is None or name in checks}
-    chosen.update(extra_checks or {})
+    own = {f"_own_{n}": c for n, c in enumerate((extra_checks or {}).values())}
+    chosen.update(zip(extra_checks or {}, map(F.col, own)))
     valid = record_valid("item", items.select(*ITEM_FIELDS).schema)
-    tested = once(items, {"_schema_valid": valid, **at})
-    judged = once(tested, {"checks": F.struct(*[c.alias(name) for name, c in chosen.items()])}).drop("_schema_valid", *at)
+    # What looks at the texts is computed once; the checks themselves only compare its results.
+    tested = once(items, {"_schema_valid": valid, "_shape_valid": messages_shape(), **at, **own})
+    judged = tested.withColumn("checks", F.struct(*[c.alias(name) for name, c in chosen.items()])).drop(
+        "_schema_valid", "_shape_valid", *at, *own
+    )
     failed = F.array(*[F.when(~F.col(f"checks.{name}"), F.lit(name)) for name in chosen])
     return judged.withColumn("errors", F.array_except(failed, F.array(F.lit(None).cast("string"))))
 

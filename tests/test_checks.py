@@ -216,3 +216,10 @@ def test_routing_and_counts(spark):
 def test_stable_ids_differ_by_position(spark):
     a, b = spark.range(1).select(stable_uuid(F.lit(CHUNK), F.lit(0)), stable_uuid(F.lit(CHUNK), F.lit(1))).first()
     assert a != b
+
+
+def test_tags_behind_wide_characters_and_one_projection(spark):
+    thought, answer = "<|begin_of_thought|>\U0001f600<|end_of_thought|>", "<|begin_of_solution|>a<|end_of_solution|>"
+    checked = checks.local_checks(items(spark, [item(0, "\U0001f600" * 9 + thought + answer), item(1, answer + thought)]))
+    assert {r.metadata.chunk_index: r.errors for r in checked.collect()} == {0: [], 1: ["tags_in_correct_order"]}
+    assert checked._jdf.queryExecution().executedPlan().toString().count("Generate ") == 1
