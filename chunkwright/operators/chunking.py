@@ -23,7 +23,11 @@ BREAK_LINE = (
     rf"|{BLANK}*+(?:\n|\z)"
     rf"|[^\n]*+\n{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z)"
 )
-_BREAK_SPLIT = rf"(?<=\n)(?={BREAK_LINE})"
+# Every piece but the last ends in a newline, which the split takes away.
+_BREAK_SPLIT = rf"\n(?={BREAK_LINE})"
+# The same for texts without a line that starts like a rule; the title line above a rule need not be looked through.
+_RULE_START = rf"\n{BLANK}*[=-]"
+_RULELESS_SPLIT = rf"\n(?={BLANK}*+(?:#|\n|\z))"
 # Offset 0 is a break for a heading or a ruled line, not for a blank line.
 _BREAK_AT_START = (
     rf"\A(?:{BLANK}*+#|[^\n]*+\n{BLANK}*+(?:=++|-++){BLANK}*+(?:\n|\z))"
@@ -58,7 +62,10 @@ class ChunkOptions:
 
 def break_pieces(text: Column) -> Column:
     """Text cut at its semantic breaks; an empty last piece means a break at the end."""
-    return F.split(text, _BREAK_SPLIT, -1)
+    cut = F.when(text.rlike(_RULE_START), F.split(text, _BREAK_SPLIT, -1)).otherwise(F.split(text, _RULELESS_SPLIT, -1))
+    return let(
+        cut, lambda pieces: F.transform(pieces, lambda p, i: F.when(i < F.size(pieces) - 1, F.concat(p, F.lit("\n"))).otherwise(p))
+    )
 
 
 def semantic_breaks(text: Column) -> Column:
@@ -97,7 +104,7 @@ def semantic_breaks(text: Column) -> Column:
 
 
 def _chunk_ends(opt: ChunkOptions) -> str:
-    """SQL of the fold over ``_pieces``, ``ARRAY<STRUCT<tokens, last>>``, to the chunk ends.
+    """SQL of the fold over ``_tokenized``, the tokens of each piece, to the chunk ends.
 
     ``start`` is where the open chunk begins and ``done`` how many tokens are behind us;
     ``done`` is itself the latest break.  A chunk is decided at the first piece that runs
@@ -108,30 +115,32 @@ def _chunk_ends(opt: ChunkOptions) -> str:
     step = size - overlap
     none = "cast(array() AS array<int>)"
     before = f"acc.done >= at.target - {tol}"
-    after = f"NOT p.last AND at.stop <= at.target + {tol}"
-    chars_before = "length(array_join(slice(p.tokens, 1, at.target - acc.done), ''))"
-    chars_after = "length(array_join(slice(p.tokens, at.target - acc.done + 1, at.stop - at.target), ''))"
+    after = f"NOT at.last AND at.stop <= at.target + {tol}"
+    chars_before = "length(array_join(slice(p, 1, at.target - acc.done), ''))"
+    chars_after = "length(array_join(slice(p, at.target - acc.done + 1, at.stop - at.target), ''))"
     first = f"""CASE
       WHEN {before} AND {after} THEN CASE WHEN {chars_before} <= {chars_after} THEN acc.done ELSE at.stop END
       WHEN {before} THEN acc.done
       WHEN {after} THEN at.stop
       ELSE at.target END"""
     # How many more targets this piece passes for good, and whether its own end closes one.
-    passed = f"cast(ceil((at.stop - if(p.last, 0, {tol}) - first - {step}) / {step}) AS int)"
+    passed = f"cast(ceil((at.stop - if(at.last, 0, {tol}) - first - {step}) / {step}) AS int)"
     rest = f"""concat(
       if(n > 0, transform(sequence(0, n - 1), i -> first + (i + 1) * {step}), {none}),
-      if(NOT p.last AND first < at.stop AND first + (n + 1) * {step} < at.stop, array(at.stop), {none}))"""
+      if(NOT at.last AND first < at.stop AND first + (n + 1) * {step} < at.stop, array(at.stop), {none}))"""
     settled = f"""transform(array({first}), first ->
       concat(array(first), transform(array(greatest({passed}, 0)), n -> {rest})[0]))[0]"""
     return f"""aggregate(
-      _pieces,
-      named_struct('start', 0, 'done', 0, 'ends', {none}),
+      _tokenized,
+      named_struct('pieces', 0, 'start', 0, 'done', 0, 'ends', {none}),
       (acc, p) -> transform(
-        array(named_struct('stop', acc.done + size(p.tokens), 'target', acc.start + {size})),
+        array(named_struct('pieces', acc.pieces + 1, 'last', acc.pieces + 1 = size(_tokenized),
+          'stop', acc.done + size(p), 'target', acc.start + {size})),
         at -> CASE
-          WHEN at.stop <= at.target THEN named_struct('start', acc.start, 'done', at.stop, 'ends', acc.ends)
+          WHEN at.stop <= at.target THEN named_struct(
+            'pieces', at.pieces, 'start', acc.start, 'done', at.stop, 'ends', acc.ends)
           ELSE transform(array({settled}), e -> named_struct(
-            'start', element_at(e, -1) - {overlap}, 'done', at.stop, 'ends', concat(acc.ends, e)))[0] END)[0],
+            'pieces', at.pieces, 'start', element_at(e, -1) - {overlap}, 'done', at.stop, 'ends', concat(acc.ends, e)))[0] END)[0],
       acc -> CASE
         WHEN acc.done = 0 OR (size(acc.ends) > 0 AND acc.start + {overlap} = acc.done) THEN acc.ends
         ELSE concat(acc.ends, array(acc.done)) END)"""
@@ -147,18 +156,18 @@ def chunk_spans(df: DataFrame, opt: ChunkOptions, text: str = "text") -> DataFra
     if isinstance(tokenizer, VocabularyTokenizer):
         return _vocabulary_spans(df, opt, tokenizer, text)
     cut = break_pieces(F.col(text)) if opt.semantic_breaks else F.array(F.col(text))
-    tokenized = df.select(*keep, cut.alias("_cut")).select(
-        *keep, "_cut", tokenizer.encode_pieces(F.col("_cut")).alias("_tokenized")
-    )
-    if tokenizer is not LOSSLESS:
+    if tokenizer is LOSSLESS:
+        tokenized = df.select(*keep, tokenizer.encode_pieces(cut).alias("_tokenized"))
+    else:
         # Chunk texts are made of token texts, so tokens that do not rejoin would lose text.
+        tokenized = df.select(*keep, cut.alias("_cut")).select(
+            *keep, "_cut", tokenizer.encode_pieces(F.col("_cut")).alias("_tokenized")
+        )
         rejoined = F.transform("_tokenized", lambda t: F.array_join(t, ""))
         why = F.raise_error(F.lit(f"tokens of {tokenizer.name} do not rejoin to the text"))
         checked = F.when(F.col("_cut").isNull() | rejoined.eqNullSafe(F.col("_cut")), F.col("_tokenized")).otherwise(why)
         tokenized = tokenized.withColumn("_tokenized", checked)
-    last = "transform(_tokenized, (t, i) -> named_struct('tokens', t, 'last', i = size(_tokenized) - 1))"
-    pieces = tokenized.select(*keep, "_tokenized", F.expr(last).alias("_pieces"))
-    ends = pieces.select(*keep, F.flatten("_tokenized").alias("_tokens"), F.expr(_chunk_ends(opt)).alias("_ends"))
+    ends = tokenized.select(*keep, F.flatten("_tokenized").alias("_tokens"), F.expr(_chunk_ends(opt)).alias("_ends"))
     spans = f"""transform(_ends, (stop, i) -> transform(
       array(if(i = 0, 0, get(_ends, i - 1) - {opt.overlap})),
       start -> named_struct('token_start', start, 'token_end', stop,
