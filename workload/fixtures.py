@@ -152,11 +152,27 @@ def stored_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_replies(made: DataFrame) -> DataFrame:
-    """One made-up reply per chunk, twelve cases around two known items."""
+    """One made-up reply per chunk, twelve cases around two known items.
+
+    The quoted texts that the items share are made once, and each reply of the items it needs.
+    """
     keep = ["doc_id", "chunk_id", "project", "file_path", "file_name", "chunk_index"]
     keyed = made.withColumn("doc_id", F.expr(DOC_ID)).select(*keep, "text")
-    parts = once(keyed, {name: F.expr(sql) for name, sql in REPLY_PARTS.items()})
-    return once(once(parts, {"body": F.expr(REPLY_BODY)}), {"content": F.expr(REPLY)}).select(*keep, "content")
+    texts = {"problem_1": PROBLEM_1, "problem_2": PROBLEM_2, "solution_1": SOLUTION_1, "solution_2": SOLUTION_2}
+
+    def quoted(sql: str) -> Column:
+        """``json_text``; only texts with a backslash or quote are searched for each of them."""
+        rare = F.contains(F.expr(sql), F.expr(BACKSLASH)) | F.contains(F.expr(sql), F.lit('"'))
+        lines = F.expr(f"concat(chr(34), replace({sql}, {NEWLINE}, concat({BACKSLASH}, 'n')), chr(34))")
+        return F.when(rare, F.expr(json_text(sql))).otherwise(lines)
+
+    parts = once(keyed, {f"{name}_json": quoted(sql) for name, sql in texts.items()}).drop("text")
+    body = REPLY_BODY
+    for part, sql in REPLY_PARTS.items():
+        for name, text in texts.items():
+            sql = sql.replace(json_text(text), f"{name}_json")
+        body = body.replace(part, sql)
+    return once(once(parts, {"body": F.expr(body)}), {"content": F.expr(REPLY)}).select(*keep, "content")
 
 
 def parsed_replies(made: DataFrame) -> DataFrame:
